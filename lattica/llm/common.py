@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lattica.session import ship
+
 #: Rows in one Arrow batch handed to Python; texts can be long, so fewer than Spark's 10,000.
 ARROW_ROWS = 1000
 #: Bytes of text that a kernel works on at once.
@@ -23,7 +25,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the Arrow batch size unless the session has chosen one itself."""
+    """Make ready for Python workers: they get the package, and smaller Arrow batches unless the session has chosen."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(ARROW_ROWS))

@@ -7,20 +7,103 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import quality_rules, simhash
+from lattica.llm import chat_format, langid, mixture, passages, pieces, quality_rules, secrets, simhash
 from lattica.llm.common import read_table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", planted), (-1, 1, "assistant", planted)], "conv_id long, turn long, role string, text string")
+    return chat_format.digest(chat_format.format_conversations(rows.union(more)))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents")))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.plan(read_table(spark, sf_dir, "documents")).withColumns({"target": F.round("target", 6), "first_position": F.round("first_position", 9)})
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.classify(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op4_simhash_dedup)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_quality_rules, op3_chat_format, op4_simhash_dedup, op6_secret_scan, op8_sentencepiece,
+        op9_mixture, op10_language_id,
+    )
+}
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLES: dict[str, str] = {
+    "op3_chat_format": r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked as (
+    select *, case when lag(role) over w is distinct from role then 1 else 0 end as opens,
+        length(regexp_replace(text, '([\\<\[])', '\1\\', 'g')) as text_chars,
+        length(regexp_replace(role, '([\\<\[])', '\1\\', 'g')) as role_chars
+    from turns window w as (partition by conv_id order by turn, role, text)
+)
+select conv_id, count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+    sum(text_chars + case when opens = 1 then length('<|start|><|text|><|end|>') + role_chars else length('<|join|>') end)::bigint as formatted_chars
+from marked group by conv_id""",
+    "op9_mixture": rf"""
+with sized as (
+    select doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::bigint as size,
+        md5('mix:' || coalesce(doc_id::varchar, '')) as ord
+    from documents
+), totals as (
+    select source, sum(size)::bigint as source_size, (row_number() over (order by source nulls last) - 1) % 3 as place from sized group by source
+), weighed as (
+    select source, source_size, case place when 0 then 5.0::double when 1 then 2.0::double else 1.0::double end as weight,
+        case place when 0 then -0.5::double when 1 then 0.0::double else 0.5::double end as slope, source_size * 3.0::double as most
+    from totals
+), levels as (
+    select *, most / weight as ratio,
+        (sum(source_size::double) over () - coalesce(sum(most) over (o rows between unbounded preceding and 1 preceding), 0.0))
+        / sum(weight) over (o rows between current row and unbounded following) as level
+    from weighed window o as (order by most / weight, source nulls first)
+), goals as (
+    select *, coalesce(least(most, max(case when level < ratio then level end) over () * weight), most) as target from levels
+), laid as (
+    select s.*, g.source_size, g.target, g.slope,
+        coalesce(sum(s.size) over (partition by s.source order by s.ord, s.doc_id, s.size rows between unbounded preceding and 1 preceding), 0)::bigint as start
+    from sized s join goals g on s.source is not distinct from g.source
+), taken as (
+    select *, case when source_size > 0 then floor(target / source_size) else 0 end as passes from laid
+), copied as (
+    select *, (passes + case when start + size / 2.0::double < target - passes * source_size then 1 else 0 end)::bigint as copies,
+        case when target > 0 then least((start + size / 2.0::double) / target, 1.0) else 0.0 end as asked
+    from taken
+)
+select doc_id, size, source_size, round(target, 6) as target, copies, copies * size as taken,
+    case when copies > 0 then round(2 * asked / ((1 - slope) + sqrt((1 - slope) * (1 - slope) + 4 * slope * asked)), 9) end as first_position
+from copied""",
 }
-ORACLES: dict[str, str] = {}
