@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import chat_format, langid, mixture, passages, pieces, quality_rules, secrets, simhash
+from lattica.llm import ann, chat_format, html_extract, langid, mixture, passages, pieces, quality_rules, secrets, simhash
 from lattica.llm.common import read_table
 
 
@@ -31,10 +31,19 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "embeddings")
+    return ann.search(ann.build_index(table), table.where("vec_id % 100 = 0"), k=10)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents")))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read_table(spark, sf_dir, "documents"))
 
@@ -50,8 +59,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op2_quality_rules, op3_chat_format, op4_simhash_dedup, op6_secret_scan, op8_sentencepiece,
-        op9_mixture, op10_language_id,
+        op1_quality_classifier, op2_quality_rules, op3_chat_format, op4_simhash_dedup, op5_hnsw_search, op6_secret_scan,
+        op7_html_extraction, op8_sentencepiece, op9_mixture, op10_language_id,
     )
 }
 
