@@ -1,4 +1,4 @@
-"""Making the package importable where Python workers run."""
+"""What operators need from the session: the package on the executors, and reliable checkpoints."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +23,12 @@ def ship(spark: SparkSession) -> None:
             z.write(p, f"lattica/{p.relative_to(root)}")
     sc.addPyFile(str(path))
     _shipped.add(sc.applicationId)
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with files in spark.checkpoint.dir, which all executors share; only where that is unset, as in
+    tests, in a folder of our own."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lattica-checkpoint-"))
+    return df.checkpoint(eager=True)
