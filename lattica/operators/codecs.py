@@ -47,7 +47,8 @@ def octree_bytes(masks: DataFrame, depth: int, by: Sequence[str] = ()) -> DataFr
 def octree_leaves(masks: DataFrame, depth: int, by: Sequence[str] = ()) -> DataFrame:
     """(by..., code): the leaves, from the masks of the last level."""
     bits = F.filter(F.sequence(F.lit(0), F.lit(7)), lambda i: F.getbit(F.col("mask").cast("int"), i) == 1)
-    return masks.where(F.col("level") == depth - 1).select(*by, (F.col("node") * 8 + F.explode(bits)).alias("code"))
+    rows = masks.where(F.col("level") == depth - 1).select(*by, "node", F.explode(bits).alias("child"))
+    return rows.select(*by, (F.col("node") * 8 + F.col("child")).alias("code"))
 
 
 def sibling_delta(leaves: DataFrame, depth: int, value: str, code: str = "code", by: Sequence[str] = ()) -> DataFrame:

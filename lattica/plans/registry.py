@@ -1,10 +1,33 @@
-"""All registered queries of the engine and their SQL."""
+"""All registered queries of the engine and their SQL. A query module registers its functions with `query`."""
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function (spark, sf_dir) -> DataFrame under its name, with the DuckDB SQL of the same rows."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+for _name in ("catalog", "spatial", "geometry", "telemetry"):
+    importlib.import_module(f"lattica.plans.{_name}_queries")
