@@ -202,7 +202,7 @@ def asset_counts(df: DataFrame, objects: str = "objects", materials: str = "mate
     total = lambda field: F.aggregate(full, F.lit(0).cast("long"), lambda acc, o: acc + F.size(o[field]))
     out = {"num_faces": total("faces"), "num_vertices": total("vertices")}
     for kind in ("baseColor", "metallic", "roughness", "alpha"):
-        out[f"num_{kind.lower()}_tex"] = F.size(F.filter(materials, lambda m, k=kind: m[f"{k}Texture"].isNotNull())).cast("long")
+        out[f"num_{kind.lower()}_tex"] = F.size(F.filter(F.transform(materials, lambda m: m[f"{kind}Texture"]), lambda t: t.isNotNull())).cast("long")  # noqa: B023
     return df.withColumns(out)
 
 

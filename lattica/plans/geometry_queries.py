@@ -72,11 +72,11 @@ def mesh_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mesh(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """A box around each part's own corner, in a grid of 16 cells of side 1 / 16."""
+    """A box, open at one triangle, around each part's own corner, in a grid of 16 cells of side 1 / 16."""
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("mesh"), *[((F.col("p_partkey") % m + 2.3) / 16).alias(o) for o, m in (("ox", 5), ("oy", 6), ("oz", 7))])
     corner = F.array(*[F.struct(F.lit(i).alias("vid"), *[F.lit((i >> k) & 1).alias(f"c{a}") for k, a in enumerate("xyz")]) for i in range(8)])
     v = parts.select("mesh", "ox", "oy", "oz", F.explode(corner).alias("c")).select("mesh", "c.vid", *[(F.col(f"o{a}") + F.col(f"c.c{a}") * 4.2 / 16).alias(a) for a in "xyz"])
-    tris = ((0, 2, 1), (1, 2, 3), (4, 5, 6), (5, 7, 6), (0, 1, 4), (1, 5, 4), (2, 6, 3), (3, 6, 7), (0, 4, 2), (2, 4, 6), (1, 3, 5), (3, 7, 5))
+    tris = ((0, 2, 1), (1, 2, 3), (4, 5, 6), (5, 7, 6), (0, 1, 4), (1, 5, 4), (2, 6, 3), (3, 6, 7), (0, 4, 2), (2, 4, 6), (1, 3, 5))
     f = parts.select("mesh", F.explode(F.array(*[F.struct(F.lit(i).alias("fid"), *[F.lit(x).alias(f"v{k}") for k, x in enumerate(t)]) for i, t in enumerate(tris)])).alias("f")).select("mesh", "f.*")
     return v, f
 

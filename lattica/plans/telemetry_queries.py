@@ -34,11 +34,11 @@ def ema(spark: SparkSession, sf: str) -> DataFrame:
     return M.ema(_events(spark, sf), "value", ["event_id"], 0.9, RUN).withColumn("ema", F.round("ema", 6))
 
 
-@query("with e as (select event_id, user_id, floor(epoch(ts))::bigint as t, count(*) over w as done, max(floor(epoch(ts))::bigint) over w - min(floor(epoch(ts))::bigint) over w as spent from events window w as (partition by user_id order by event_id rows unbounded preceding)) select event_id, done::bigint as done, round(spent / done, 7) as avg, round(spent / done * (500 - done), 7) as eta from e")
+@query("with e as (select event_id, user_id, floor(epoch(ts))::bigint as t, count(*) over w as done, max(floor(epoch(ts))::bigint) over w - min(floor(epoch(ts))::bigint) over w as spent from events window w as (partition by user_id order by event_id rows unbounded preceding)) select event_id, done::bigint as done, round(spent / done, 5) as avg, round(spent / done * (500 - done), 5) as eta from e")
 def progress(spark: SparkSession, sf: str) -> DataFrame:
     """Rate and time left."""
     rows = _events(spark, sf).withColumn("t", F.unix_timestamp("ts"))
-    return M.progress(rows, "t", ["event_id"], 500, RUN).select("event_id", "done", F.round("avg", 7).alias("avg"), F.round("eta", 7).alias("eta"))
+    return M.progress(rows, "t", ["event_id"], 500, RUN).select("event_id", "done", F.round("avg", 5).alias("avg"), F.round("eta", 5).alias("eta"))
 
 
 @query("select least(floor((event_id % 1000) / 1000.0::double * 10), 9)::int as bin, round(avg(round(value * 100)::bigint), 4) as mean, count(*)::bigint as n from events group by 1")

@@ -334,8 +334,9 @@ def parse_ply_voxels(data: bytes) -> tuple[np.ndarray, dict[str, np.ndarray]]:
 
 
 def register(spark: SparkSession) -> None:
-    """Make the formats vxz, npz and plyvoxel known to the session."""
+    """Make the formats vxz, npz and plyvoxel known to the session, and let filters reach them."""
     ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     for source in (VxzSource, NpzSource, PlySource):
         spark.dataSource.register(source)
 

@@ -110,12 +110,17 @@ def upsert_progress(stream: DataFrame, folder: str, checkpoint: str, key: str =
     return query
 
 
+def _watermarked(events: DataFrame, ts: str, late: str) -> DataFrame:
+    """Streams need a watermark, and that a timestamp with a time zone."""
+    return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late) if events.isStreaming else events
+
+
 def event_windows(events: DataFrame, ts: str, kind: str, value: str, size: str, slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """(start, kind, n, total) of tumbling or sliding windows; works on batches and streams."""
-    rows = events.withWatermark(ts, late) if events.isStreaming else events
+    rows = _watermarked(events, ts, late)
     return rows.groupBy(F.window(ts, size, slide).alias("w"), kind).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("start"), kind, "n", "total")
 
 
 def sessions(events: DataFrame, ts: str, user: str, gap: str, late: str = "10 minutes") -> DataFrame:
-    rows = events.withWatermark(ts, late) if events.isStreaming else events
+    rows = _watermarked(events, ts, late)
     return rows.groupBy(F.session_window(ts, gap).alias("w"), user).agg(F.count("*").alias("n")).select(user, F.col("w.start").alias("start"), F.col("w.end").alias("stop"), "n")
