@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from lattica.llm import boosting
 from lattica.llm.common import small_batches, text_slices
 
-TRAIN_PAGES = 500
+TRAIN_PAGES = 700
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -120,7 +120,8 @@ class Page:
     parent: list[int] = field(default_factory=list)
     depth: list[int] = field(default_factory=list)
     own: list[int] = field(default_factory=list)
-    above: list[int] = field(default_factory=list)
+    above: list[int] = field(default_factory=list)  # categories of all ancestors
+    nearest: list[int] = field(default_factory=list)  # of the nearest ancestor that has any
     end: list[int] = field(default_factory=list)
     place: list[int] = field(default_factory=list)  # among its siblings
     children: list[int] = field(default_factory=list)
@@ -154,6 +155,7 @@ def parse(source: str) -> Page:
         own = bits | TAG_BITS.get(name, 0)
         page.own.append(own)
         page.above.append(page.own[up] | page.above[up] if up >= 0 else 0)
+        page.nearest.append(page.own[up] or page.nearest[up] if up >= 0 else 0)
         page.end.append(-1)
         page.place.append(page.children[up] if up >= 0 else 0)
         page.children.append(0)
@@ -241,7 +243,7 @@ def features(pages: list[Page]) -> np.ndarray:
     n = int(sizes.sum())
     parent, end = flat("parent"), flat("end") + base
     parent = np.where(parent >= 0, parent + base, -1)
-    tag, depth, own, above, place, children, links = (flat(x) for x in ("tag", "depth", "own", "above", "place", "children", "links"))
+    tag, depth, own, above, nearest, place, children, links = (flat(x) for x in ("tag", "depth", "own", "above", "nearest", "place", "children", "links"))
     chars, words, marks, capital, runs = (np.zeros(n) for _ in range(5))
     for p, at in zip(pages, first.tolist(), strict=True):
         for node, line in p.runs:
@@ -272,7 +274,7 @@ def features(pages: list[Page]) -> np.ndarray:
         depth, ratio(depth, deepest), before, siblings, place, ratio(same_tag, siblings), np.log1p(around), under["chars"] / np.maximum(1, around),
         ratio(under["links"][up], under["chars"][up]), np.log1p(under["chars"][up]), children,
     ]
-    bits = [((v >> i) & 1).astype(np.float32) for v in (own, above) for i in range(N_CATEGORIES)]
+    bits = [((v >> i) & 1).astype(np.float32) for v in (own, above, nearest) for i in range(N_CATEGORIES)]
     return np.concatenate([np.stack([*columns, *bits], axis=1).astype(np.float32), _GROUP[tag], _GROUP[tag[up]]], axis=1)
 
 
@@ -323,6 +325,7 @@ def _made_up(rng: random.Random) -> str:
         return " ".join(re.sub(r" (\w+)$", r", \1", phrase(4, 18)).capitalize() + rng.choice("....!?") for _ in range(k))
 
     style = rng.random()
+    clutter = rng.choice((0.0, 0.4, 0.8, 1.0, 1.0))  # how much boilerplate a page has, against the usual
     noise = lambda: "".join(rng.choices("abcdefghijkmnopqrstuvwxyz", k=rng.randint(3, 7))) + rng.choice(("", "-", "__")) + str(rng.randint(1, 99))
 
     def named(*names: str) -> str:
@@ -391,24 +394,31 @@ def _made_up(rng: random.Random) -> str:
 
     def article() -> str:
         count = rng.choice((0, 1, 1, 2, 3, 5, 8, 12, 25))
+        if rng.random() < 0.1:  # plain text with line breaks
+            lines = "<br>".join(sentences(rng.randint(1, 4)) for _ in range(count or 1))
+            return f"<div{named('article', 'post', 'content', 'main', 'text')} data-y=\"1\">{f'<h1>{phrase(2, 9)}</h1>' if rng.random() < 0.6 else ''}{lines}</div>"
         parts = [part() for _ in range(count)] or [f"<p>{phrase(1, 5)}</p>"]
+        if rng.random() < 0.12:  # no element of its own
+            return "".join(x.replace(">", ' data-y="1">', 1) for x in ([f"<h1>{phrase(2, 9)}</h1>"] if rng.random() < 0.6 else []) + parts)
         for kind in ("ad", "notice", "side", "share", "form", "comment", "nav"):
-            if rng.random() < 0.12:
+            if rng.random() < 0.12 * clutter * (style >= 0.25 or kind in ("share", "form", "nav")):
                 parts.insert(rng.randint(1, len(parts)), block(kind))
-        body = (f"<h1>{phrase(2, 9)}</h1>" if rng.random() < 0.85 else "") + "".join(parts)
+        body = (f"<h1>{phrase(2, 9)}</h1>" if rng.random() < 0.7 else "") + "".join(parts)
         if rng.random() < 0.3:
             body = f"<div{named('content', 'entry-content', 'article-body', 'post-body', 'text')}>{body}</div>"
         tag = rng.choice(("article", "article", "main", "div", "div", "section"))
         return f"<{tag}{named('article', 'post', 'content', 'story', 'main', 'entry', 'page-content')} data-y=\"1\">{body}</{tag}>"
 
-    before = [block(k) for k in ("head", "nav", "notice", "ad", "form", "side", "share") if rng.random() < 0.42]
-    after = [block(k) for k in ("comment", "side", "ad", "notice", "share", "form", "nav") if rng.random() < 0.33]
+    # where names tell nothing, boilerplate made of plain sentences can't be told from a short article by anyone
+    told = style >= 0.25
+    before = [block(k) for k in ("head", "nav", "notice", "ad", "form", "side", "share") if rng.random() < 0.42 * clutter * (told or k not in ("notice", "ad"))]
+    after = [block(k) for k in ("comment", "side", "ad", "notice", "share", "form", "nav") if rng.random() < 0.33 * clutter * (told or k not in ("comment", "notice", "ad"))]
     rng.shuffle(before)
     rng.shuffle(after)
     inside = "".join(before) + article() + "".join(after)
     if rng.random() < 0.4:
         inside = f"<div{named('container', 'wrapper', 'page', 'site', 'row')}>{inside}</div>"
-    return f"<html><head><title>x</title></head><body>{inside}{block('foot') if rng.random() < 0.75 else ''}</body></html>"
+    return f"<html><head><title>x</title></head><body>{inside}{block('foot') if rng.random() < 0.75 * clutter else ''}</body></html>"
 
 
 @cache
