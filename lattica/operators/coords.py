@@ -285,6 +285,11 @@ def densify(df: DataFrame, batches: int, size: tuple[int, int, int], value: str)
     return grid.join(df.select(*KEY, value), list(KEY), "left").withColumn(value, F.coalesce(value, F.lit(0)))
 
 
+def occupancy(df: DataFrame, factor: int) -> DataFrame:
+    """Cells of the coarser grid that hold any cell."""
+    return df.select(*_parents(factor)).distinct()
+
+
 def sparsify(df: DataFrame, value: str) -> DataFrame:
     return df.where(F.col(value) > 0)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -25,10 +26,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in spark.checkpoint.dir, which all executors share; only where that is unset, as in
-    tests, in a folder of our own."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which all executors share; only where that is unset, as in tests, a folder
+    of our own."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lattica-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with files in the shared folder, which outlive a lost executor."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

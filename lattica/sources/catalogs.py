@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import json
+import pickle
 import re
 import tarfile
 import zipfile
@@ -105,6 +107,69 @@ def read_archives(spark: SparkSession, folder: str, member: str = ".*", pattern:
     return files.mapInArrow(run, "archive string, member string, content binary").withColumn("sha256", F.sha2("content", 256))
 
 
+class _PlainUnpickler(pickle.Unpickler):
+    """Plain containers and NumPy arrays only: a dump can't name any other code."""
+
+    def find_class(self, module: str, name: str):
+        if (module.split(".")[0], name) in {("numpy", "ndarray"), ("numpy", "dtype"), ("numpy", "_reconstruct"), ("numpy", "scalar"), ("numpy", "_frombuffer")}:
+            return super().find_class(module, name)
+        raise pickle.UnpicklingError(f"{module}.{name} isn't allowed in a dump")
+
+
+DUMP = "objects array<struct<vertices:array<array<double>>,faces:array<array<int>>,mat_ids:array<int>>>, materials array<string>"
+
+
+def read_dumps(spark: SparkSession, folder: str, pattern: str = "*.pickle") -> DataFrame:
+    """(path, objects, materials, error) of pickled mesh dumps; materials as JSON text without their images, and null objects
+    with an error for a file that can't be read."""
+    ship(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder).select("path", "content")
+    kinds = {f.name: f.dataType for f in T._parse_datatype_string(DUMP).fields}
+
+    def plain(x):
+        return x.tolist() if hasattr(x, "tolist") else list(x)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        for batch in batches:
+            objects, materials, errors = [], [], []
+            for data in batch.column("content").to_pylist():
+                try:
+                    dump = _PlainUnpickler(io.BytesIO(data)).load()
+                    objects.append([{"vertices": plain(o["vertices"]), "faces": plain(o["faces"]), "mat_ids": plain(o.get("mat_ids", []))} for o in dump["objects"]])
+                    materials.append([json.dumps({k: v for k, v in m.items() if not isinstance(v, (bytes, dict))}, default=plain) for m in dump.get("materials", [])])
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001  a bad file is a result
+                    objects.append(None)
+                    materials.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+            columns = [batch.column("path"), pa.array(objects, to_arrow_type(kinds["objects"])), pa.array(materials, to_arrow_type(kinds["materials"])), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "objects", "materials", "error"])
+
+    return files.mapInArrow(run, f"path string, {DUMP}, error string")
+
+
+def read_obj_meshes(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, vertices, faces) of Wavefront OBJ text, without Python: v and f lines, faces of any size, indices from 0."""
+    lines = spark.read.text(folder, wholetext=True, pathGlobFilter="*.obj").select(F.input_file_name().alias("path"), F.split("value", r"\r?\n").alias("lines"))
+    words = lambda kind: F.transform(F.filter("lines", lambda x: x.startswith(f"{kind} ")), lambda x: F.filter(F.slice(F.split(F.trim(x), r"\s+"), 2, 1 << 20), lambda w: w != ""))
+    vertices = F.transform(words("v"), lambda w: F.transform(F.slice(w, 1, 3), lambda n: n.cast("double")))
+    index = lambda n: F.split_part(n, F.lit("/"), F.lit(1)).cast("int")
+    faces = F.transform(words("f"), lambda w: F.transform(w, lambda n: F.when(index(n) > 0, index(n) - 1).otherwise(F.size(vertices) + index(n))))
+    return lines.select("path", vertices.alias("vertices"), faces.alias("faces"))
+
+
+def read_variants(spark: SparkSession, root: str, prefix: str, name: str, schema: T.StructType) -> DataFrame:
+    """The tables in folders {prefix}_{value} below root as one, with the value as the column `name`."""
+    _, path, system = _fs(spark, root)
+    found = sorted(s.getPath().getName() for s in system.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith(f"{prefix}_"))
+    out = spark.createDataFrame([], schema).withColumn(name, F.lit(None).cast("string"))
+    for folder in found:
+        out = out.unionByName(spark.read.schema(schema).parquet(f"{root}/{folder}").withColumn(name, F.lit(folder.removeprefix(f"{prefix}_"))))
+    return out
+
+
 def read_annotations(spark: SparkSession, path: str, splits: Sequence[str] = ("train", "test")) -> DataFrame:
     """(split, entry) of a JSON object of lists."""
     schema = T.StructType([T.StructField(s, T.ArrayType(T.StringType())) for s in splits])
