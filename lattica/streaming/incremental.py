@@ -101,7 +101,8 @@ def upsert_progress(stream: DataFrame, folder: str, checkpoint: str, key: str =
     """Keep the last record of each key as the catalog in `folder`."""
 
     def upsert(batch: DataFrame, number: int) -> None:
-        rows = batch.groupBy(key).agg(F.max_by(F.struct(*[c for c in batch.columns if c != key]), F.monotonically_increasing_id()).alias("r")).select(key, "r.*")
+        placed = batch.withColumn("__i", F.monotonically_increasing_id())
+        rows = placed.groupBy(key).agg(F.max_by(F.struct(*[c for c in batch.columns if c != key]), "__i").alias("r")).select(key, "r.*")
         base = current_catalog(batch.sparkSession, folder)
         write_catalog(merge_records(base, {"new": rows}, key) if base is not None else rows, folder, f"{number:08d}")
 

@@ -193,3 +193,29 @@ def test_fetch_retries_what_is_missing(spark):
 
     assert R.fetch_remaining(spark.range(6), "id", fetch).count() == 6
     assert seen[0] == 6 and len(seen) == 3
+
+
+def test_dumps_and_obj_files(spark, tmp_path):
+    import os
+    import pickle
+
+    import numpy as np
+
+    good = {"objects": [{"vertices": np.zeros((2, 3)), "faces": np.array([[0, 1, 1]]), "mat_ids": [0]}], "materials": [{"alphaMode": "OPAQUE", "image": b"x"}]}
+    (tmp_path / "a.pickle").write_bytes(pickle.dumps(good))
+    (tmp_path / "b.pickle").write_bytes(pickle.dumps({"objects": os.getcwd}))
+    got = {r.path[-8:]: r for r in R.read_dumps(spark, str(tmp_path)).collect()}
+    assert got["a.pickle"].objects[0].faces == [[0, 1, 1]] and got["a.pickle"].materials == ['{"alphaMode": "OPAQUE"}']
+    assert got["b.pickle"].objects is None and "isn't allowed" in got["b.pickle"].error
+    (tmp_path / "m.obj").write_text("# x\nv 0 0 0.5\nv 1 0 0\r\nv  0 1 0\nf 1/1 2/2 3/3\nf -3 -2 -1\n")
+    r = R.read_obj_meshes(spark, str(tmp_path)).first()
+    assert r.vertices == [[0.0, 0.0, 0.5], [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]] and r.faces == [[0, 1, 2], [0, 1, 2]]
+
+
+def test_variants_become_a_column(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    for res in (256, 512):
+        spark.createDataFrame([(f"k{res}",)], "sha256 string").write.parquet(str(tmp_path / f"dual_grid_{res}"))
+    got = R.read_variants(spark, str(tmp_path), "dual_grid", "res", T.StructType([T.StructField("sha256", T.StringType())]))
+    assert pairs(got, "sha256", "res") == [("k256", "256"), ("k512", "512")]

@@ -291,3 +291,10 @@ def test_colours_of_principal_components(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
     got = S.pca_colour(df, "embedding").select(F.array_min("colour").alias("a"), F.array_max("colour").alias("b")).agg(F.min("a"), F.max("b")).first()
     assert got[0] == pytest.approx(0) and got[1] == pytest.approx(1)
+
+
+def test_mip_levels(spark):
+    texels = spark.createDataFrame([(x, y, 200 if (x + y) % 2 else 100) for x in range(4) for y in range(4)], "tx int, ty int, value long")
+    points = spark.createDataFrame([(0, 0.125, 0.875, -1.0), (1, 0.5, 0.5, 1.0), (2, 0.5, 0.5, 9.0), (3, 0.125, 0.875, 0.5)], "i int, u double, v double, level double")
+    got = {r.i: r.value * 255 for r in G.sample_mipmapped(points, texels, 4, "i").collect()}
+    assert got == pytest.approx({0: 100.0, 1: 150.0, 2: 150.0, 3: 125.0})

@@ -59,3 +59,37 @@ def test_ssim_of_equal_images(spark):
     rng = np.random.default_rng(1)
     px = spark.createDataFrame([(i, j, float(v), float(v)) for i in range(12) for j, v in enumerate(rng.random(12))], "px int, py int, a double, b double")
     assert M.ssim(px, "a", "b").first().ssim == pytest.approx(1.0)
+
+
+def test_stateful_stream_equals_batch(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = [(f"r{i % 2}", i, float(i * 7 % 11)) for i in range(24)]
+    schema = "run string, step long, value double"
+    for k in range(2):  # two files, one micro-batch each
+        spark.createDataFrame(rows[12 * k : 12 * k + 12], schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"part={k}"))
+    for name, make, want in (
+        ("clip", lambda s: I.rolling_percentile_stream(s, 4, 0.5, 8.0), lambda d: M.rolling_percentile(d, "value", ["step"], 4, 0.5, 8.0, ["run"])),
+        ("ema", lambda s: I.moving_average_stream(s, 0.5), None),
+    ):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        q = make(stream).writeStream.outputMode("append").format("memory").queryName(f"state_{name}").option("checkpointLocation", str(tmp_path / name)).start()
+        q.processAllAvailable()
+        q.stop()
+        got = {(r.run, r.step): r[name] for r in spark.table(f"state_{name}").collect()}
+        assert len(got) == 24
+        if want:
+            assert got == {(r.run, r.step): r.clip for r in want(spark.createDataFrame(rows, schema)).collect()}
+    last = {r.run: r.ema for r in M.ema(spark.createDataFrame(rows, schema), "value", ["step"], 0.5, ["run"]).collect()}
+    assert {k: pytest.approx(v) for k, v in last.items()} == {"r0": got[("r0", 22)], "r1": got[("r1", 23)]}
+    spark.conf.unset(key)
+
+
+def test_progress_upsert(spark, tmp_path):
+    schema = "key string, status string, n int"
+    spark.createDataFrame([("a", "error", 1), ("b", "success", 2)], schema).coalesce(1).write.parquet(str(tmp_path / "in" / "p=0"))
+    for _ in range(2):
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        I.upsert_progress(stream, str(tmp_path / "cat"), str(tmp_path / "state"))
+        spark.createDataFrame([("a", "success", 3)], schema).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "in" / "p=1"))
+    assert {(r.key, r.status) for r in current_catalog(spark, str(tmp_path / "cat")).collect()} == {("a", "success"), ("b", "success")}
