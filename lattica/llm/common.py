@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lattica.session import ship
@@ -80,6 +81,16 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = CHUN
             yield batch.slice(start)
 
 
+def hash_sample(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """Up to n rows (group, key) of each group, the smallest by a hash of the key. A threshold from the group's size keeps
+    about 2 n rows of it before they are ranked, so that no task gathers a group, however many partitions it comes from."""
+    h = F.pmod(F.xxhash64(key, F.lit("share")), F.lit(1 << 40)) / float(1 << 40)
+    sizes = rows.groupBy(group).agg((F.lit(2.0 * n) / F.count("*")).alias("__share"))
+    near = rows.join(sizes, group).where(h < F.col("__share"))
+    nth = F.row_number().over(W.partitionBy(group).orderBy(F.xxhash64(key), key))
+    return near.withColumn("__nth", nth).where(F.col("__nth") <= n).select(group, key)
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the value as text, modulo n; null stays null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

@@ -6,8 +6,8 @@ one language alone would take. Per language the popcount over a text's n-grams,
 filter's fill, decides.
 
 A language contains an n-gram if its share of that language's n-grams is at least SHARE of the largest share that any
-language has of it; each keeps its KEEP most frequent. These are learnt from up to `per_lang` documents of each language, by
-a hash of doc_id.
+language has of it; each keeps its KEEP most frequent. These are learnt from up to `per_lang` documents of each language, chosen
+by a hash of doc_id.
 
 Defined results: a null text or one without a letter is `und` with score 0; rows without a doc_id or lang aren't learnt
 from but are predicted; repeated rows get equal results; with nothing to learn from everything is `und`; ties go to the
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lattica.llm.common import crc_mod, small_batches, text_slices
+from lattica.llm.common import crc_mod, hash_sample, small_batches, text_slices
 
 ORDERS = (2, 3, 4)
 PER_LANG = 400
@@ -136,8 +136,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """docs: only rows that may be learnt from."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where("doc_id is not null and lang is not null and text is not null")
-    nth = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.select("doc_id", "lang").withColumn("nth", nth).where(F.col("nth") <= per_lang).select("doc_id").distinct()
+    chosen = hash_sample(rows.select("lang", "doc_id"), "lang", "doc_id", per_lang).select("doc_id").distinct()
     counted = rows.join(F.broadcast(chosen), "doc_id", "left_semi").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = counted.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy("lang", F.shiftright("gram", 32))))
     own = counted.withColumn("most", F.max("share").over(W.partitionBy("gram"))).where(F.col("share") >= SHARE * F.col("most"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import crc_mod, small_batches, text_slices
+from lattica.llm.common import crc_mod, hash_sample, small_batches, text_slices
 from lattica.llm.textkernel import SPACE, Texts, repeats, windows
 
 PASSAGE = 1024
@@ -147,8 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     learnt from."""
     small_batches(docs.sparkSession)
     known = labels.where(f"{id_col} is not null and {label_col} is not null").groupBy(F.col(id_col).alias("doc_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
-    pick = lambda y: known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-    chosen = pick(0).union(pick(1))
+    chosen = hash_sample(known, "label", "doc_id", per_class)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     kind = docs.schema[id_col].dataType.simpleString()
     got = rows.mapInArrow(_sample, f"doc_id {kind}, label int, x binary").toArrow().sort_by("doc_id")
