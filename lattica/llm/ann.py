@@ -13,6 +13,7 @@ with the nearest; ties go to the smaller id; an empty table gives an empty resul
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
@@ -169,6 +170,17 @@ def _build_shard(rows: pa.Table) -> pa.Table:
     })
 
 
+def _build_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shard of a partition, one graph per vector length."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    rows = pa.Table.from_batches(held)
+    dims = rows.column("dim").to_numpy()
+    for dim in np.unique(dims):
+        yield from _build_shard(rows.filter(pa.array(dims == dim))).to_batches()
+
+
 def _search_shard(key: tuple, index: pa.Table, queries: pa.Table, k: int, ef: int) -> pa.Table:
     out: tuple[list, list, list] = ([], [], [])
     if index.num_rows and queries.num_rows:
@@ -210,7 +222,7 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     rows = _rows(table, id_col, vector_col)
     n = max(shards, -(-rows.count() // shard_rows))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    return checkpoint(rows.groupBy("dim", "shard").applyInArrow(_build_shard, INDEX))
+    return checkpoint(rows.repartitionById(n, F.col("shard")).mapInArrow(_build_shards, INDEX))  # a task per shard
 
 
 def search(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, ef: int = EF_SEARCH, block: int = QUERY_BLOCK) -> DataFrame:
