@@ -1,9 +1,7 @@
-"""What the operators of this subpackage share: reading tables, reliable checkpoints, Arrow batches."""
+"""What the operators of this subpackage share: reading tables, Arrow batches, samples; checkpoint is the session's."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lattica.session import ship
+from lattica.session import checkpoint, ship
+
+__all__ = ["WORD", "checkpoint", "crc_mod", "fresh", "hash_sample", "read_table", "small_batches", "text_slices"]
 
 #: Rows in one Arrow batch handed to Python; texts can be long, so fewer than Spark's 10,000.
 ARROW_ROWS = 1000
@@ -34,25 +34,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
-def _checkpoint_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which all executors share; only where it is unset, as in tests, a folder of our own."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lattica-checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in the shared checkpoint folder, which outlive a lost executor."""
-    _checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder, for a table to write and read again."""
-    return f"{_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that df doesn't have (case-insensitively), one for each name given."""
     taken = {c.lower() for c in df.columns}
