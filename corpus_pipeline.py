@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.llm import mixture, pieces, quality_rules, secrets, simhash
-from lattica.llm.common import checkpoint_path, read_table
+from lattica.llm.common import read_table
+from lattica.session import scratch
 
 
 def _recount(docs: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage. Stages but the last are written to the checkpoint folder, which executors share."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = checkpoint_path(spark, f"pipeline-{name}")
+        path = scratch(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
