@@ -298,3 +298,51 @@ def test_mip_levels(spark):
     points = spark.createDataFrame([(0, 0.125, 0.875, -1.0), (1, 0.5, 0.5, 1.0), (2, 0.5, 0.5, 9.0), (3, 0.125, 0.875, 0.5)], "i int, u double, v double, level double")
     got = {r.i: r.value * 255 for r in G.sample_mipmapped(points, texels, 4, "i").collect()}
     assert got == pytest.approx({0: 100.0, 1: 150.0, 2: 150.0, 3: 125.0})
+
+
+def closest(p, a, b, c):
+    """Distance of p to a triangle by the Voronoi regions of its corners and edges; an independent way."""
+    ab, ac, ap, bp, cp = b - a, c - a, p - a, p - b, p - c
+    d1, d2, d3, d4, d5, d6 = ab @ ap, ac @ ap, ab @ bp, ac @ bp, ab @ cp, ac @ cp
+    if d1 <= 0 and d2 <= 0:
+        q = a
+    elif d3 >= 0 and d4 <= d3:
+        q = b
+    elif d6 >= 0 and d5 <= d6:
+        q = c
+    elif (vc := d1 * d4 - d3 * d2) <= 0 <= d1 and d3 <= 0:
+        q = a + ab * (d1 / (d1 - d3))
+    elif (vb := d5 * d2 - d1 * d6) <= 0 <= d2 and d6 <= 0:
+        q = a + ac * (d2 / (d2 - d6))
+    elif (va := d3 * d6 - d5 * d4) <= 0 and d4 >= d3 and d5 >= d6:
+        q = b + (c - b) * ((d4 - d3) / (d4 - d3 + d5 - d6))
+    else:
+        q = a + ab * (vb / (va + vb + vc)) + ac * (vc / (va + vb + vc))
+    return float(np.linalg.norm(p - q))
+
+
+SURFACE = "fid int, ax double, ay double, az double, bx double, by double, bz double, cx double, cy double, cz double"
+
+
+def test_nearest_surface_is_brute_force(spark):
+    rng = np.random.default_rng(3)
+    tris = rng.random((30, 3, 3)) * 2
+    pts = np.concatenate([rng.random((150, 3)) * 2, rng.normal(0, 6, (20, 3))])
+    inner = np.concatenate([tris.mean(axis=1), tris[:, 0], (tris[:, 0] + tris[:, 1]) / 2])  # on a face, a corner, an edge
+    pts = np.concatenate([pts, inner])
+    rows = [(i, *map(float, t.ravel())) for i, t in enumerate(tris)]
+    flat = [(90, 5.0, 5.0, 5.0, 5.0, 5.0, 5.0, 5.0, 5.0, 5.0), (91, 0.0, 0.0, 4.0, 1.0, 0.0, 4.0, 3.0, 0.0, 4.0)]  # a point, a line
+    odd = [(92, float("nan"), *[0.0] * 8), (93, None, *[0.0] * 8)]
+    surface = spark.createDataFrame([*rows, *rows[:5], *flat, *odd], SURFACE)
+    asked = [(i, *map(float, p)) for i, p in enumerate(pts)] + [(-1, 5.0, 6.0, 5.0), (-2, 2.0, 0.0, 4.5), (-3, float("nan"), 0.0, 0.0), (-4, None, 0.0, 0.0)]
+    table_ = spark.createDataFrame(asked, "pid int, px double, py double, pz double")
+    got = {r.pid: (r.fid, r.dist) for r in G.nearest_surface(table_, surface, 0.25).collect()}
+    assert set(got) == set(range(len(pts))) | {-1, -2}
+    assert got[-1] == (90, 1.0) and got[-2] == (91, 0.5)
+    line = [0, 1, 3]
+    for i, p in enumerate(pts):
+        d = [closest(p, *t) for t in tris] + [float(np.linalg.norm(p - 5)), float(np.linalg.norm(p - [min(max(p[0], line[0]), line[2]), 0, 4]))]
+        assert got[i][1] == pytest.approx(min(d), abs=1e-9, rel=1e-9)
+        at = got[i][0] if got[i][0] < 90 else got[i][0] - 60
+        assert d[at] == pytest.approx(min(d), abs=1e-9, rel=1e-9)
+    assert G.nearest_surface(table_, surface.limit(0), 0.25).count() == G.nearest_surface(table_.limit(0), surface, 0.25).count() == 0
