@@ -157,6 +157,6 @@ def surface_lookup(spark: SparkSession, sf: str) -> DataFrame:
     from lattica.plans.geometry_queries import _mesh
 
     v, f = _mesh(spark, sf)
-    tris = G.gather(f.where("mesh <= 50"), v)
+    tris = G.gather(f, v)
     points = table(spark, sf, "events").select(F.col("event_id").alias("pid"), *[(F.col("event_id") % m / m).alias(f"p{a}") for a, m in (("x", 17), ("y", 19), ("z", 23))])
     return G.nearest_surface(points, tris, 0.25).withColumn("dist", F.round("dist", 9)).select("pid", "dist")

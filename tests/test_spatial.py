@@ -346,3 +346,18 @@ def test_nearest_surface_is_brute_force(spark):
         at = got[i][0] if got[i][0] < 90 else got[i][0] - 60
         assert d[at] == pytest.approx(min(d), abs=1e-9, rel=1e-9)
     assert G.nearest_surface(table_, surface.limit(0), 0.25).count() == G.nearest_surface(table_.limit(0), surface, 0.25).count() == 0
+
+
+def test_surface_lookup_meets_every_mesh(spark, sf):
+    from lattica.plans.geometry_queries import _mesh
+    from lattica.plans.registry import QUERIES
+
+    v, f = _mesh(spark, sf)
+    at = {(r.mesh, r.vid): np.array([r.x, r.y, r.z], float) for r in v.collect()}
+    tris = {tuple(np.concatenate([at[r.mesh, r[k]] for k in ("v0", "v1", "v2")])) for r in f.collect()}
+    ids = [r.event_id for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id").collect()]
+    got = {r.pid: r.dist for r in QUERIES["surface_lookup"](spark, sf).collect()}
+    assert sorted(got) == sorted(ids)
+    for i in ids[::25]:
+        p = np.array([i % 17 / 17, i % 19 / 19, i % 23 / 23])
+        assert got[i] == pytest.approx(min(closest(p, *np.reshape(t, (3, 3))) for t in tris), abs=2e-9)
