@@ -48,6 +48,10 @@ PUNCTUATION = re.compile(r"[.,;:!?…。]")
 
 #: Elements whose content isn't text of the page.
 RAW = {"script", "style", "template", "noscript", "iframe", "svg", "math", "object", "textarea", "select", "canvas", "audio", "video", "head"}
+#: Of these, raw text: without an end tag they hold the rest of the page. The others then hold nothing.
+TO_THE_END = ("script", "style", "textarea", "iframe")
+#: Elements that may stand in a head; any other ends it, as text does.
+IN_HEAD = {"title", "meta", "link", "base", "script", "style", "noscript", "template"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "source", "track", "wbr", "col", "area", "base", "embed", "param"}
 #: Elements that start a block of their own; all others are inline.
 BLOCKS = (
@@ -130,6 +134,52 @@ class Page:
     links: list[int] = field(default_factory=list)  # characters of link text, own
 
 
+@cache
+def _tags_of(name: str) -> re.Pattern:
+    """Start and end tags of an element, outside comments and raw text."""
+    raw = "|".join(TO_THE_END)
+    skipped = rf"<!--.*?(?:-->|\Z)|<(?P<raw>{raw})(?=[\s/>]).*?(?:</(?P=raw)(?=[\s/>])|\Z)|"
+    return re.compile(skipped + rf"<(?P<close>/?){name}(?=[\s/>])(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>", re.IGNORECASE | re.DOTALL)
+
+
+class Ends:
+    """Where the content of an element ends, by its name and the end of its start tag; one pass over the page for each name."""
+
+    def __init__(self, source: str):
+        self.source, self.known = source, {}
+
+    def after(self, name: str, at: int) -> int | None:
+        """Behind the end tag of the element whose start tag ends at `at`; None without an end tag."""
+        if name in TO_THE_END:
+            m = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE).search(self.source, at)
+            return m.end() if m else len(self.source)
+        if name not in self.known:
+            ends, ahead = {}, []
+            for m in _tags_of(name).finditer(self.source):
+                if m["close"] == "":
+                    if not m[0].endswith("/>"):
+                        ahead.append(m.end())
+                elif m["close"] and ahead:
+                    ends[ahead.pop()] = m.end()
+            self.known[name] = ends
+        return self.known[name].get(at)
+
+    def after_head(self, at: int) -> int:
+        """Behind </head>, or before the first thing that can't stand in a head."""
+        while m := TAG.search(self.source, at):
+            if self.source[at : m.start()].strip():
+                return at
+            name, closing = (m["name"] or m["name2"] or "").lower(), bool(m["close"] or m["close2"])
+            if closing and name == "head":
+                return m.end()
+            if name and not closing and name not in IN_HEAD:
+                return m.start()
+            at = m.end()
+            if not closing and name in ("title", "script", "style", "noscript", "template"):
+                at = self.after(name, at) or at
+        return at
+
+
 def parse(source: str) -> Page:
     page = Page()
     stack: list[int] = []
@@ -170,7 +220,7 @@ def parse(source: str) -> Page:
         page.end[stack.pop()] = len(page.tag)
 
     push("html", 0, "")
-    at, size = 0, len(source)
+    at, size, ends = 0, len(source), Ends(source)
     while at < size:
         m = TAG.search(source, at)
         stop = m.start() if m else size
@@ -188,8 +238,7 @@ def parse(source: str) -> Page:
         closing, attrs = bool(m["close"] or m["close2"]), m["attrs"] or m["attrs2"] or ""
         if name in RAW and not closing:
             if not attrs.endswith("/"):
-                done = re.compile(rf"</{re.escape(name)}[^>]*>" + (r"|(?=<body\b)" if name == "head" else ""), re.IGNORECASE).search(source, at)
-                at = done.end() if done else size
+                at = ends.after_head(at) if name == "head" else ends.after(name, at) or at
             text.append(" ")
         elif name in VOID:
             text.append(" ")

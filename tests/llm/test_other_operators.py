@@ -121,6 +121,26 @@ def test_parser():
         html_extract.parse(odd)
 
 
+def lines(page):
+    return [line for _, line in html_extract.parse(page).runs]
+
+
+@pytest.mark.parametrize("name", ["video", "audio", "svg", "math", "object", "canvas", "select", "template", "noscript"])
+def test_unclosed_element_keeps_the_rest(name):
+    assert lines(f"<p>a</p><{name} id='x'><p>b</p><{name}>hid</{name}><p>c</p>") == ["a", "b", "c"]
+    assert lines(f"<p>a</p><{name}><{name}>x</{name}>y</{name}><p>b</p><!-- </{name}> --><{name}><p>c</p><!-- </{name}> --><p>d</p>") == ["a", "b", "c", "d"]
+    assert lines(f"<p>a</p><{name}>x</{name}er><p>b</p></{name}><p>c</p>") == ["a", "c"]
+
+
+def test_head_without_its_end_tag():
+    assert lines("<html><head><title>t</title><meta charset=utf-8><style>p{}</style><script>'</head>'</script><p>a</p><p>b</p>") == ["a", "b"]
+    assert lines("<head><title>t</title><header>a</header><p>b</p>") == ["a", "b"]
+    assert lines("<head><title>t</title></head ><header>a</header><p>b</p>") == ["a", "b"]
+    assert lines("<head><link rel=x><body><p>a</p>") == ["a"]
+    assert lines("<head><title>t</title>plain text") == ["plain text"]
+    assert lines("<p>a</p><script>b<p>c</p>") == lines("<p>a</p><style>b<p>c</p>") == lines("<p>a</p><textarea>b<p>c</p>") == ["a"]
+
+
 def test_labels_never_contradict(trees):
     rng = random.Random(4)
     for _ in range(40):
