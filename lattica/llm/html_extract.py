@@ -106,7 +106,7 @@ def attribute_bits(attrs: str) -> tuple[int, str]:
     for name, a, b, c, hidden in ATTRIBUTE.findall(attrs):
         value, name = a or b or c, name.lower()
         if name in ("class", "id", "itemprop", "data-role", "data-component", "data-testid", "aria-label"):
-            bits |= token_bits(value) if len(value) <= 200 else token_bits(value[:200])
+            bits |= token_bits(value) if len(value) <= 200 else token_bits.__wrapped__(value)  # long ones aren't cached
         elif name == "role":
             bits |= BIT.get(ROLES.get(value.lower(), ""), 0)
         elif hidden or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):

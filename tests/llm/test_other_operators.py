@@ -141,6 +141,12 @@ def test_head_without_its_end_tag():
     assert lines("<p>a</p><script>b<p>c</p>") == lines("<p>a</p><style>b<p>c</p>") == lines("<p>a</p><textarea>b<p>c</p>") == ["a"]
 
 
+@pytest.mark.parametrize("word", ["comments", "cookie", "sidebar", "article"])
+def test_long_attributes_are_read_whole(word):
+    utility = "px-4 mt-2 flex " * 40
+    assert html_extract.attribute_bits(f' class="{utility}{word}"')[0] == html_extract.attribute_bits(f' class="{word}"')[0] != 0
+
+
 def test_labels_never_contradict(trees):
     rng = random.Random(4)
     for _ in range(40):
