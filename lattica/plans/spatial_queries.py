@@ -205,10 +205,10 @@ def extents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def window_attention(spark: SparkSession, sf: str) -> DataFrame:
-    """Attention inside shifted windows of the voxels."""
-    v = K.window_partition(voxels(spark, sf).where("b = 0"), 4, 2, (51, 11, 9))
+    """Attention inside shifted windows of the voxels of each batch."""
+    v = K.window_partition(voxels(spark, sf), 4, 2, (51, 11, 9))
     feats = F.array(*[(F.col(c) / 10).cast("double") for c in ("x", "y", "z", "n")])
-    return K.attention(v.withColumn("f", feats), "window", "f", "f", "f", ["x", "y", "z"]).withColumn("out", F.transform("out", lambda x: F.round(x, 6)))
+    return K.attention(v.withColumn("f", feats), "window", "f", "f", "f", KEY).withColumn("out", F.transform("out", lambda x: F.round(x, 6)))
 
 
 # --- curves and codecs ----------------------------------------------------------------------------------------------

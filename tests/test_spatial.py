@@ -361,3 +361,17 @@ def test_surface_lookup_meets_every_mesh(spark, sf):
     for i in ids[::25]:
         p = np.array([i % 17 / 17, i % 19 / 19, i % 23 / 23])
         assert got[i] == pytest.approx(min(closest(p, *np.reshape(t, (3, 3))) for t in tris), abs=2e-9)
+
+
+def test_attention_covers_both_batches(spark, sf):
+    from lattica.plans.registry import QUERIES
+    from lattica.plans.spatial_queries import voxels
+
+    cells = {(r.b, r.x, r.y, r.z): np.array([r.x, r.y, r.z, r.n]) / 10 for r in voxels(spark, sf).collect()}
+    got = {(r.b, r.x, r.y, r.z): r.out for r in QUERIES["window_attention"](spark, sf).collect()}
+    assert set(got) == set(cells) and {b for b, *_ in got} == {0, 1}
+    window = lambda c: (c[0], *[(k + 2) // 4 for k in c[1:]])
+    for at in sorted(cells)[::50]:
+        near = np.array([f for c, f in cells.items() if window(c) == window(at)])
+        w = np.exp(near @ cells[at] / 2)
+        assert np.allclose(got[at], w @ near / w.sum(), atol=2e-6)
