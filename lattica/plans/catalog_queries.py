@@ -210,6 +210,11 @@ def latest_step(spark: SparkSession, sf: str) -> DataFrame:
     return C.latest_step(table(spark, sf, "orders").where("o_orderkey % 10 = 3").select(F.format_string("ckpt/denoiser_step%07d.pt", "o_orderkey").alias("path")))
 
 
+@query("select max(o_orderkey)::bigint as step from orders")
+def latest_step_all(spark: SparkSession, sf: str) -> DataFrame:
+    return C.latest_step(table(spark, sf, "orders").select(F.format_string("ckpt/denoiser_step%07d.pt", "o_orderkey").alias("path")))
+
+
 # --- sampling -------------------------------------------------------------------------------------------------------
 
 

@@ -54,6 +54,18 @@ def weighted_attr(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({"price": F.round("price", 4), "d": F.round("d", 6)})
 
 
+def _objects(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices and faces of a supplier's objects: a vertex per line item, and a face of each and the two after it."""
+    from pyspark.sql import Window as W
+
+    rows = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("mesh"), F.col("l_linenumber").alias("obj"), "l_orderkey", "l_partkey")
+    one = W.partitionBy("mesh", "obj")
+    vid = (F.row_number().over(one.orderBy("l_orderkey", "l_partkey")) - 1).cast("long")
+    rows = rows.select("mesh", "obj", vid.alias("vid"), F.count("*").over(one).alias("n"))
+    faces = rows.select("mesh", "obj", *[((F.col("vid") + k) % F.col("n")).alias(f"v{k}") for k in range(3)])
+    return rows.select("mesh", "obj", "vid", F.col("obj").alias("tag")), faces
+
+
 @query("""
 with o as (select l_suppkey as mesh, l_linenumber as obj, l_partkey as k from lineitem),
 v as (select mesh, obj, count(*)::bigint as n from o group by 1, 2)
@@ -61,16 +73,20 @@ select mesh, obj, (sum(n) over (partition by mesh order by obj) - n)::bigint as
 """)
 def mesh_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Vertex ids shifted by the objects before."""
-    from pyspark.sql import Window as W
-
-    rows = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("mesh"), F.col("l_linenumber").alias("obj"), "l_orderkey", "l_partkey")
-    vid = (F.row_number().over(W.partitionBy("mesh", "obj").orderBy("l_orderkey", "l_partkey")) - 1).cast("long")
-    vertices = rows.select("mesh", "obj", vid.alias("vid"), F.col("obj").alias("tag"))
-    faces = rows.select("mesh", "obj").distinct().select("mesh", "obj", *[F.lit(0).cast("long").alias(c) for c in ("v0", "v1", "v2")])
-    merged, _ = G.merge_meshes(vertices, faces)
+    merged, _ = G.merge_meshes(*_objects(spark, sf))
     return merged.groupBy("mesh", F.col("tag").alias("obj")).agg(F.min("vid").alias("first"), F.max("vid").alias("last"))
 
 
+@query("""
+with o as (select l_suppkey as mesh, l_linenumber as obj, row_number() over (partition by l_suppkey, l_linenumber order by l_orderkey, l_partkey) - 1 as i, count(*) over (partition by l_suppkey, l_linenumber) as n from lineitem),
+c as (select mesh, obj, count(*) as n from o group by 1, 2), s as (select mesh, obj, sum(n) over (partition by mesh order by obj) - n as shift from c)
+select mesh, (shift + i)::bigint as v0, (shift + (i + 1) % o.n)::bigint as v1, (shift + (i + 2) % o.n)::bigint as v2 from o join s using (mesh, obj)
+""")
+def mesh_merge_faces(spark: SparkSession, sf: str) -> DataFrame:
+    """The faces of the merged meshes."""
+    return G.merge_meshes(*_objects(spark, sf))[1]
+
+
 def _mesh(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """A box, open at one triangle, around each part's own corner, in a grid of 16 cells of side 1 / 16."""
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("mesh"), *[((F.col("p_partkey") % m + 2.3) / 16).alias(o) for o, m in (("ox", 5), ("oy", 6), ("oz", 7))])

@@ -178,6 +178,13 @@ def union_renumber(spark: SparkSession, sf: str) -> DataFrame:
     return K.renumber_concat([rows.where("s % 3 = 0"), rows.where("s % 3 = 1")]).groupBy("b").agg(F.count("*").alias("n"))
 
 
+@query("select (l_linenumber + 8 * (l_suppkey % 3))::int as b, count(*)::bigint as n from lineitem group by 1")
+def union_renumber_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Three tables that hold all rows."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("b"), F.col("l_suppkey").alias("s"))
+    return K.renumber_concat([rows.where(F.col("s") % 3 == i) for i in range(3)]).groupBy("b").agg(F.count("*").alias("n"))
+
+
 @query(f"with {VOXELS} select 0 as b, x, y, z, n from v where b = 1 union all select 1, x, y, z, n from v where b = 0 union all select 2, x, y, z, n from v where b = 1")
 def select_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Batches gathered by index, duplicates allowed."""

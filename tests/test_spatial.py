@@ -375,3 +375,15 @@ def test_attention_covers_both_batches(spark, sf):
         near = np.array([f for c, f in cells.items() if window(c) == window(at)])
         w = np.exp(near @ cells[at] / 2)
         assert np.allclose(got[at], w @ near / w.sum(), atol=2e-6)
+
+
+def test_group_norm_covers_all_components(spark, sf):
+    from lattica.plans.registry import QUERIES
+
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    got = {r.vec_id: r.f for r in QUERIES["segment_group_norm"](spark, sf).collect()}
+    for label in {r.label for r in rows}:
+        ids, x = zip(*[(r.vec_id, r.embedding) for r in rows if r.label == label], strict=True)
+        x = np.array(x, float).reshape(len(ids), -1, 4)
+        want = (x - x.mean(axis=(0, 2), keepdims=True)) / np.sqrt(x.var(axis=(0, 2), keepdims=True) + 1e-5)
+        assert np.allclose([got[i] for i in ids], want.reshape(len(ids), -1), atol=2e-6)
