@@ -28,7 +28,7 @@ from lattica.llm.textkernel import mix
 #: Neighbours per node above the bottom layer (twice as many there), and candidates kept while building and searching.
 M, EF_BUILD, EF_SEARCH = 16, 56, 120
 #: Least number of shards, and rows that a shard is meant to hold at most.
-SHARDS, SHARD_ROWS = 12, 20_000
+SHARDS, SHARD_ROWS = 12, 5_000
 QUERY_BLOCK = 10_000
 
 INDEX = "dim int, shard int, kind string, vectors binary, id_ends binary, ids binary, levels binary, base binary, upper binary"
@@ -40,8 +40,8 @@ class Graph:
 
     def __init__(self, vectors: np.ndarray, levels: np.ndarray, base: np.ndarray | None = None, upper: np.ndarray | None = None):
         largest = float(np.abs(vectors).max()) if vectors.size else 1.0
-        self.scale = np.float64(1.0) / largest
-        self.v = (vectors * self.scale).astype(np.float32)  # of the size of 1, so that squares neither overflow nor vanish
+        self.largest = np.float64(largest)
+        self.v = vectors.astype(np.float64) / self.largest  # double precision, so that one huge vector leaves the others their squares
         self.norm = np.einsum("ij,ij->i", self.v, self.v)
         self.levels = levels
         self.first = np.cumsum(levels) - levels
@@ -134,7 +134,7 @@ class Graph:
     def search(self, query: np.ndarray, ef: int) -> np.ndarray:
         if self.entry < 0:
             return np.zeros(0, np.int64)
-        q = (query * self.scale).astype(np.float32)
+        q = query.astype(np.float64) / self.largest
         found = [(float(self._near(q, np.array([self.entry]))[0]), self.entry)]
         for layer in range(int(self.levels[self.entry]), 0, -1):
             found = self.search_layer(q, found[:1], 1, layer)

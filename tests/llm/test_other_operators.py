@@ -54,6 +54,18 @@ def test_graph_recall_in_one_large_shard():
     assert hits / 500 >= 0.93
 
 
+def test_an_outlier_leaves_its_shard_alone():
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(1500, 16)).astype(np.float32)
+    v[700, 3] = 1e25
+    graph = ann.Graph(v, np.floor(-np.log(rng.random(len(v)) + 1e-9) / np.log(ann.M)).astype(np.int32))
+    hits = 0
+    for q in v[:40]:
+        want = np.argsort(((v.astype(float) - q.astype(float)) ** 2).sum(axis=1))[:10]
+        hits += len(set(want.tolist()) & set(graph.search(q, ann.EF_SEARCH)[:10].tolist()))
+    assert hits >= 390
+
+
 def test_copies_and_unusable_vectors(spark):
     same = [1.0, 2.0]
     rows = [(i, same) for i in range(40, 0, -1)] + [(100, same), (200, [5.0, 5.0]), (None, same), (201, None), (202, [0.0, 0.0]), (203, [float("nan"), 1.0])]
