@@ -33,6 +33,9 @@ BOILERPLATE = re.compile(
     r"|click here\b|powered by\b|lorem ipsum)",
     re.IGNORECASE,
 )
+PHRASES = re.compile(BOILERPLATE.pattern.removeprefix(r"^\W*") + r"|\b\d{4}\b", re.IGNORECASE)
+#: Further words that a line may have besides its phrases if it isn't a sentence.
+FURTHER_WORDS = 3
 #: Navigation: short items joined by separators.
 SEPARATORS = re.compile(r"\s[|»›>•·/]\s")
 
@@ -48,12 +51,22 @@ MIN_KEPT = 0.5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def is_boilerplate(body: str) -> bool:
+    """It begins with a phrase, and its phrases and years hold half of it, or few words follow that aren't a sentence's."""
+    if len(body) > 200 or not BOILERPLATE.match(body):
+        return False
+    rest = PHRASES.sub(" ", body)
+    if 2 * sum(m.end() - m.start() for m in PHRASES.finditer(body)) >= len(body):
+        return True
+    return len(rest.split()) <= FURTHER_WORDS and body[-1] not in ".!?"
+
+
 def line_verdict(line: str) -> str | None:
     """The rule that removes this line, or None to keep it."""
     body = line.strip()
     if not body:
         return None
-    if BOILERPLATE.match(body) and len(body) <= 200:
+    if is_boilerplate(body):
         return "boilerplate"
     words = body.split()
     joints = len(SEPARATORS.findall(f"{body} "))

@@ -74,6 +74,15 @@ def test_line_rules():
     assert quality_rules.clean_text("A good line here.\nHome | News | Sport | Help\n") == ("A good line here.\n", 17 / (17 + 26))
 
 
+def test_prose_that_begins_like_boilerplate_stays():
+    verdict = quality_rules.line_verdict
+    for line in ("Share this bread with your neighbours while it is still warm.", "Subscribe rates fell in the spring, the paper said.", "Follow us down the valley, said the guide.",
+                 "Read more slowly if the poem seems difficult at first.", "Sign in sheets were kept at the door of the hall.", "Copyright law protects authors.", "Copyright protects the authors of books and songs"):
+        assert verdict(line) is None, line
+    for line in ("All rights reserved.", "Copyright 2024 Example Inc. All rights reserved.", "© 2020 Example", "Share this", "Follow us on Twitter", "Subscribe to our newsletter", "Read more", "Sign in", "Back to top"):
+        assert verdict(line) == "boilerplate", line
+
+
 def test_quality_edge_cases(spark):
     got = quality_rules.judge(docs(spark)).collect()
     assert len(got) == 8
