@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from heapq import heapify, heappop, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,9 @@ def epoch_order(df: DataFrame, key: str, seed: int, epoch: int, name: str = "i")
     return global_index(df.withColumn("__h", shuffle_key(key, seed, epoch)), "__h", key, name=name).drop("__h")
 
 
-def even_total(df: DataFrame, world: int, i: str = "i", drop_last: bool = False) -> DataFrame:
-    """Rows repeated from the start, or cut from the end, to a multiple of the world size."""
-    n = df.count()
+def even_total(df: DataFrame, world: int, i: str = "i", drop_last: bool = False, n: int | None = None) -> DataFrame:
+    """Rows repeated from the start, or cut from the end, to a multiple of the world size. n: the rows, if they are counted."""
+    n = df.count() if n is None else n
     total = n // world * world if drop_last else -(-n // world) * world
     if drop_last or total == n or n == 0:
         return df.where(F.col(i) < total)
@@ -42,16 +43,25 @@ def rank_slice(df: DataFrame, world: int, rank: int, resume: int = 0, i: str = "
 
 
 def least_loaded(load: Sequence[float], groups: int, equal: bool = False) -> np.ndarray:
-    """Group of each item: heaviest first (ties: the later item first), each into the least loaded group; with equal, a
-    group that has len // groups items takes no more."""
-    load = np.asarray(load, np.float64)
-    total, count, out = np.zeros(groups), np.zeros(groups, int), np.empty(len(load), np.int32)
-    most = len(load) // groups
-    for x in np.lexsort((-np.arange(len(load)), -load)):
-        g = int(np.argmin(total))
+    """Group of each item: heaviest first (ties: the later item first), each into the least loaded group (ties: the first).
+    With equal, a group leaves the heap once it holds its share, len // groups items; items beyond all shares open every group
+    for one more."""
+    out = np.empty(len(load), np.int32)
+    heaviest = sorted(range(len(load)), key=lambda x: (load[x], x), reverse=True)
+    share = len(load) // groups if equal else len(load)
+    free, full = [(0.0, g, 0) for g in range(groups)], []
+    for x in heaviest:
+        if not free or (equal and share == 0):
+            free, full, share = [*free, *full], [], share + 1
+            heapify(free)
+        total, g, held = free[0]
         out[x] = g
-        count[g] += 1
-        total[g] = np.inf if equal and count[g] == most else total[g] + load[x]
+        now = (total + load[x], g, held + 1)
+        if equal and held + 1 >= share:
+            heappop(free)
+            full.append(now)
+        else:
+            heapreplace(free, now)
     return out
 
 
@@ -62,7 +72,7 @@ def balanced_groups(df: DataFrame, batch: str, order: str, load: str, groups: in
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by(order)
-        return rows.append_column(name, pa.array(least_loaded(rows.column(load).to_numpy(), groups, equal), pa.int32()))
+        return rows.append_column(name, pa.array(least_loaded(rows.column(load).to_pylist(), groups, equal), pa.int32()))
 
     return df.groupBy(batch).applyInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + f", {name} int")
 
@@ -70,10 +80,10 @@ def balanced_groups(df: DataFrame, batch: str, order: str, load: str, groups: in
 def balanced_sampler(df: DataFrame, key: str, load: str, seed: int, epoch: int, world: int, batch_size: int, drop_last: bool = False) -> DataFrame:
     """Macro-batches of batch_size * world rows of the epoch's order, balanced over ranks; an incomplete one is dropped.
     Adds i (place in the epoch), macro and rank."""
-    rows = even_total(epoch_order(df, key, seed, epoch), world, drop_last=drop_last)
-    macro = batch_size * world
-    n = rows.count() // macro * macro
-    rows = rows.where(F.col("i") < n).withColumn("macro", F.floor(F.col("i") / macro))
+    macro, n = batch_size * world, df.count()
+    total = n // world * world if drop_last else -(-n // world) * world
+    rows = even_total(epoch_order(df, key, seed, epoch), world, drop_last=drop_last, n=n)
+    rows = rows.where(F.col("i") < total // macro * macro).withColumn("macro", F.floor(F.col("i") / macro))
     return balanced_groups(rows, "macro", "i", load, world, True, "rank")
 
 

@@ -198,20 +198,83 @@ def test_boundary_edges(spark):
     assert G.edge_counts(two).where("n = 2").collect()[0][1:3] == (1, 2)
 
 
+def rows_of(blocks):
+    return [tuple(r) for block in blocks for r in zip(*[c.tolist() for c in block], strict=True)]
+
+
 def test_scan_conversion_of_one_triangle():
     """The triangle z = 0.5 over a 4 x 4 grid: grid lines along z at its inner corners cross it, those along x and y don't."""
-    t = np.array([[0.2, 0.2, 0.5], [3.7, 0.2, 0.5], [0.2, 3.7, 0.5]])
-    hits = G._line_hits(t, 1.0, 4)
-    assert {h[0] for h in hits} == {2}
-    assert {(h[2], h[3], h[4]) for h in hits if h[1]} == {(0, 0, 0), (1, 0, 0), (0, 1, 0)}
-    assert len(hits) == 12 and all(h[7] == 0.5 for h in hits)
+    t = np.array([[[0.2, 0.2, 0.5], [3.7, 0.2, 0.5], [0.2, 3.7, 0.5]]])
+    hits = rows_of(G._cells_around(t, 1.0, 4))
+    assert {h[1] for h in hits} == {2}
+    assert {h[3:6] for h in hits if h[2]} == {(0, 0, 0), (1, 0, 0), (0, 1, 0)}
+    assert len(hits) == 12 and all(h[8] == 0.5 for h in hits)
 
 
 def test_traversal_and_overlap():
-    assert G._walk(np.array([0.5, 0.5, 0.5]), np.array([2.5, 0.5, 0.5]), 1.0) == [(0, 0, 0), (1, 0, 0), (2, 0, 0)]
-    assert G._walk(np.zeros(3), np.zeros(3), 1.0) == []
-    t = np.array([[0.5, 0.5, 0.5], [1.5, 0.5, 0.5], [0.5, 1.5, 0.5]])
-    assert set(map(tuple, G._touched(t, 1.0, 4).tolist())) == {(0, 0, 0), (1, 0, 0), (0, 1, 0), (1, 1, 0)}
+    way = lambda a, b: [r[1:] for r in rows_of(G._passed(np.array([[a, b]], float), 1.0, 4))]
+    assert way((0.5, 0.5, 0.5), (2.5, 0.5, 0.5)) == [(0, 0, 0), (1, 0, 0), (2, 0, 0)]
+    assert way((2.5, 0.5, 0.5), (0.5, 0.5, 0.5)) == [(2, 0, 0), (1, 0, 0), (0, 0, 0)]
+    assert way((0, 0, 0), (0, 0, 0)) == [] and way((0, 0, 0), (1, 1, 1)) == [(0, 0, 0), (0, 0, 1), (0, 1, 1), (1, 1, 1)]
+    t = np.array([[[0.5, 0.5, 0.5], [1.5, 0.5, 0.5], [0.5, 1.5, 0.5]]])
+    assert {r[1:] for r in rows_of(G._overlaps(t, 1.0, 4))} == {(0, 0, 0), (1, 0, 0), (0, 1, 0), (1, 1, 0)}
+
+
+def test_range_joins_are_brute_force(monkeypatch):
+    """Every grid line and every cell of the box tried for each triangle, every short step along each segment."""
+    monkeypatch.setattr(G, "PAIRS", 37)
+    rng = np.random.default_rng(8)
+    grid, t = 7, rng.random((25, 3, 3)) * 7
+    crossed, touched, passed = set(), set(), set()
+    for o, (a, b, c) in enumerate(t):
+        n = np.cross(b - a, c - a)
+        for axis in range(3):
+            u, v = (axis + 1) % 3, (axis + 2) % 3
+            for i in range(1, grid):
+                for j in range(1, grid):
+                    s = np.linalg.solve([[b[u] - a[u], c[u] - a[u]], [b[v] - a[v], c[v] - a[v]]], [i - a[u], j - a[v]])
+                    at = a[axis] + s @ [b[axis] - a[axis], c[axis] - a[axis]]
+                    if min(s) >= 0 and sum(s) <= 1 and 0 <= at < grid:
+                        crossed.add((o, axis, i - 1, j - 1, int(at)))
+        for cell in np.ndindex(grid, grid, grid):
+            corner = np.array(list(np.ndindex(2, 2, 2))) + cell
+            side = (corner - a) @ n
+            good = side.min() <= 0 <= side.max()
+            for third in range(3):
+                u, v = (third + 1) % 3, (third + 2) % 3
+                for p, q in ((a, b), (b, c), (c, a)):
+                    turn = (q[u] - p[u]) * (corner[:, v] - p[v]) - (q[v] - p[v]) * (corner[:, u] - p[u])
+                    good &= (turn * (1 if n[third] >= 0 else -1)).max() >= 0
+            low, high = np.minimum(a, np.minimum(b, c)), np.maximum(a, np.maximum(b, c))
+            if good and all(int(low[k]) <= cell[k] < int(high[k] + 1) for k in range(3)):
+                touched.add((o, *cell))
+        passed |= {(o, *np.floor(a + (b - a) * k / 20000).astype(int).tolist()) for k in range(20001)}
+    got = rows_of(G._cells_around(t, 1.0, grid))
+    assert {(h[0], h[1], h[3 + (h[1] + 1) % 3], h[3 + (h[1] + 2) % 3], h[3 + h[1]]) for h in got if h[2]} == crossed and len(got) == 4 * len(crossed)
+    found = rows_of(G._overlaps(t, 1.0, grid))
+    assert set(found) == touched and len(found) == len(touched)
+    steps = rows_of(G._passed(t[:, :2], 1.0, grid))
+    assert passed <= set(steps) and len(set(steps) - passed) <= 2  # a step of 1/20000 may jump a corner
+    assert all(sum(abs(p - q) for p, q in zip(a[1:], b[1:], strict=True)) == 1 for a, b in zip(steps, steps[1:], strict=False) if a[0] == b[0])
+
+
+def test_a_grid_line_on_a_shared_edge_crosses_once():
+    square = np.array([[[0, 0, 1.5], [4, 0, 1.5], [4, 4, 1.5]], [[0, 0, 1.5], [4, 4, 1.5], [0, 4, 1.5]]])
+    for t in (square, square[:, ::-1], square[::-1, [1, 2, 0]]):
+        lines = [(h[3], h[4]) for h in rows_of(G._cells_around(t, 1.0, 4)) if h[1] == 2 and h[2]]
+        assert sorted(lines) == sorted(np.ndindex(3, 3))
+
+
+def test_a_large_triangle_needs_little_memory():
+    import tracemalloc
+
+    t, grid = np.array([[[0.02, 0.03, 0.01], [0.97, 0.4, 0.9], [0.3, 0.95, 0.99]]]), 1024
+    tracemalloc.start()
+    cells = sum(len(block[0]) for block in G._overlaps(t, 1 / grid, grid))
+    hits = sum(len(block[0]) for block in G._cells_around(t, 1 / grid, grid))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert cells > 5e5 and hits > 2e6 and peak < 2e8
 
 
 def test_solve_in_box():
