@@ -5,9 +5,9 @@ AND of an n-gram's rows is the set of all languages that contain it (or, seldom,
 one language alone would take. Per language the popcount over a text's n-grams, less the false positives expected from the
 filter's fill, decides.
 
-A language contains an n-gram if its share of that language's n-grams is at least SHARE of the largest share that any
-language has of it; each keeps its KEEP most frequent. These are learnt from up to `per_lang` documents of each language, chosen
-by a hash of doc_id.
+A language contains an n-gram if one in RARE of its sampled documents has it (one at least), whatever other languages have;
+every such n-gram goes into the table. The sample is up to `per_lang` documents of each language, the smallest by a hash of
+doc_id; copies of a row are one document.
 
 Defined results: a null text or one without a letter is `und` with score 0; rows without a doc_id or lang aren't learnt
 from but are predicted; repeated rows get equal results; with nothing to learn from everything is `und`; ties go to the
@@ -22,17 +22,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lattica.llm.common import crc_mod, hash_sample, small_batches, text_slices
+from lattica.llm.common import checkpoint, crc_mod, hash_sample, one_text, small_batches, text_slices
 
 ORDERS = (2, 3, 4)
 PER_LANG = 400
-KEEP = 20_000
-SHARE = 0.34
+RARE = 100
 HASHES = 3
-#: Rows of the filter per kept n-gram of the language with most; a power of two is taken.
+#: Rows of the filter per n-gram of the language with most; a power of two is taken.
 ROWS_PER_GRAM = 12
 
 #: ASCII letters stay, other ASCII becomes a space; bytes of characters beyond ASCII stay.
@@ -66,7 +64,11 @@ def grams(data: np.ndarray, order: int) -> np.ndarray:
 @dataclass
 class Filters:
     languages: list[str]
-    rows: np.ndarray  # (rows, words): bit l % 64 of word l // 64 belongs to language l
+    rows: np.ndarray  # (rows, words): with b bits a word, bit l % b of word l // b belongs to language l
+
+    @property
+    def bits(self) -> int:
+        return 8 * self.rows.itemsize
 
     def places(self, gram: np.ndarray) -> list[np.ndarray]:
         shift = np.uint64(64 - (len(self.rows) - 1).bit_length())
@@ -75,16 +77,21 @@ class Filters:
     @classmethod
     def build(cls, languages: list[str], gram: np.ndarray, language: np.ndarray) -> Filters:
         most = int(np.bincount(language, minlength=1).max()) if len(language) else 1
-        out = cls(languages, np.zeros((1 << max(10, (most * ROWS_PER_GRAM - 1).bit_length()), -(-max(1, len(languages)) // 64)), np.uint64))
-        bit = np.uint64(1) << (language % 64).astype(np.uint64)
+        word = next((t for t in (np.uint8, np.uint16, np.uint32) if len(languages) <= 8 * np.dtype(t).itemsize), np.uint64)
+        bits = 8 * np.dtype(word).itemsize
+        out = cls(languages, np.zeros((1 << max(10, (most * ROWS_PER_GRAM - 1).bit_length()), -(-max(1, len(languages)) // bits)), word))
+        bit = (np.uint64(1) << (language % bits).astype(np.uint64)).astype(word)
         for at in out.places(gram):
-            np.bitwise_or.at(out.rows, (at, language // 64), bit)
+            np.bitwise_or.at(out.rows, (at, language // bits), bit)
         return out
 
+    def _has(self, mask: np.ndarray, i: int) -> np.ndarray:
+        return (mask >> mask.dtype.type(i % self.bits)) & mask.dtype.type(1)
+
     def false_positive(self) -> np.ndarray:
         """Per language, the chance that an n-gram it doesn't have passes."""
         n = len(self.languages)
-        fill = [float(((self.rows[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean()) for i in range(n)]
+        fill = [float(self._has(self.rows[:, i // self.bits], i).mean()) for i in range(n)]
         return np.array(fill) ** HASHES
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,8 +107,8 @@ class Filters:
                 mask = column[places[0]]
                 for at in places[1:]:
                     mask &= column[at]
-                for i in range(64 * word, min(len(self.languages), 64 * word + 64)):
-                    passed = np.concatenate(([0], np.cumsum((mask >> np.uint64(i % 64)) & np.uint64(1), dtype=np.int64)))
+                for i in range(self.bits * word, min(len(self.languages), self.bits * (word + 1))):
+                    passed = np.concatenate(([0], np.cumsum(self._has(mask, i), dtype=np.int64)))
                     out[:, i] += passed[last] - passed[first]
         return out, total
 
@@ -120,6 +127,7 @@ class Filters:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n): how many texts of a language have each n-gram."""
     for piece in text_slices(batches, "text"):
         languages = np.array([str(x) for x in piece.column("lang").to_pylist()])
         texts = piece.column("text").to_pylist()
@@ -128,20 +136,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
             for order in ORDERS:
                 gram = grams(data, order)
-                gram, n = np.unique(gram[text[: len(gram)] == text[order - 1 :]], return_counts=True)
+                inside = text[: len(gram)] == text[order - 1 :]
+                gram, owner = gram[inside], text[: len(gram)][inside]
+                at = np.lexsort((owner, gram))
+                gram, owner = gram[at], owner[at]
+                new = np.ones(len(gram), bool)
+                new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+                gram, n = np.unique(gram[new], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([str(language)] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> Filters:
-    """docs: only rows that may be learnt from."""
+    """docs: only rows that may be learnt from. What reaches the driver are the n-grams of the sampled documents."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where("doc_id is not null and lang is not null and text is not null")
-    chosen = hash_sample(rows.select("lang", "doc_id"), "lang", "doc_id", per_lang).select("doc_id").distinct()
-    counted = rows.join(F.broadcast(chosen), "doc_id", "left_semi").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counted = counted.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy("lang", F.shiftright("gram", 32))))
-    own = counted.withColumn("most", F.max("share").over(W.partitionBy("gram"))).where(F.col("share") >= SHARE * F.col("most"))
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    got = own.withColumn("place", place).where(F.col("place") <= KEEP).select("lang", "gram").toArrow()
+    chosen = hash_sample(rows.select("lang", "doc_id"), "lang", "doc_id", per_lang)
+    sample = checkpoint(one_text(rows, chosen, "lang", "doc_id", "text"))
+    least = sample.groupBy("lang").agg(F.greatest(F.lit(1), F.round(F.count("*") / RARE)).alias("least"))
+    counted = sample.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    got = counted.join(F.broadcast(least), "lang").where("n >= least").select("lang", "gram").toArrow()
     languages = sorted(set(got.column("lang").to_pylist()))
     number = {x: i for i, x in enumerate(languages)}
     return Filters.build(languages, got.column("gram").to_numpy().astype(np.uint64), np.array([number[x] for x in got.column("lang").to_pylist()], np.int64))

@@ -5,8 +5,8 @@ character classes occurs in it, plus how much of it repeats earlier words or lin
 a vector. Gated attention (tanh times sigmoid) gives every passage a weight, the weights of a document's passages add up to
 one, and a logistic unit scores the weighted passage vector. The document's label trains all of it.
 
-Training uses a bounded sample: up to `per_class` labelled documents of each label, by a hash of doc_id, and of each the
-first TRAIN_PASSAGES passages by a hash of their place. Scoring uses every passage of every text.
+Training uses a bounded sample of labelled documents, up to `per_class` of each label, the smallest by a hash of doc_id, and
+every passage of them; scoring uses every passage of every text. Copies of a row train as one document.
 
 Defined results: a null or empty text is a bag with one empty passage and gets a score like any other; repeated rows get
 equal scores; rows without a doc_id are scored and never trained on; a doc_id with labels that disagree counts as the
@@ -24,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import crc_mod, hash_sample, small_batches, text_slices
+from lattica.llm.common import crc_mod, hash_sample, one_text, small_batches, text_slices
 from lattica.llm.textkernel import SPACE, Texts, repeats, windows
 
 PASSAGE = 1024
 PER_CLASS = 1500
-TRAIN_PASSAGES = 24
 HIDDEN, GATE, EPOCHS, RATE, DECAY = 24, 16, 160, 0.02, 1e-3
 
 #: Character classes of bytes: a rule, then single marks with a class of their own.
@@ -57,8 +56,9 @@ def encode_passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         text_of = np.repeat(np.arange(n), size)
         passage = first[text_of] + (np.arange(len(data)) - texts.offsets[:-1][text_of]) // PASSAGE
         kind = _CLASS[data].astype(np.int64)
-        pair = kind[:-1] * CLASSES + kind[1:]
-        counts = np.bincount(passage[:-1] * (CLASSES * CLASSES) + pair, minlength=total * CLASSES * CLASSES).reshape(total, -1)
+        inside = text_of[:-1] == text_of[1:]
+        pair = (passage[:-1] * (CLASSES * CLASSES) + kind[:-1] * CLASSES + kind[1:])[inside]
+        counts = np.bincount(pair, minlength=total * CLASSES * CLASSES).reshape(total, -1)
         out[:, : CLASSES * CLASSES] = np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
         s, e, w_owner = texts.runs(~SPACE[data])
         hashes = texts.hashes(s, e)
@@ -133,13 +133,9 @@ def train(x: np.ndarray, owner: np.ndarray, labels: np.ndarray, seed: int = 7) -
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in text_slices(batches, "text"):
         x, owner = encode_passages(piece.column("text"))
-        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        order = np.lexsort((place * 2654435761 % 4294967291, owner))
-        nth = np.empty(len(owner), np.int64)
-        nth[order] = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        use = nth < TRAIN_PASSAGES
-        rows = [r.tobytes() for r in x[use].astype(np.float16)]
-        yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(pa.array(owner[use])), piece.column("label").take(pa.array(owner[use])), pa.array(rows, pa.binary())], names=["doc_id", "label", "x"])
+        place, which = pa.array(np.arange(len(owner)) - np.searchsorted(owner, owner)), pa.array(owner)
+        rows = pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())
+        yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(which), piece.column("label").take(which), place, rows], names=["doc_id", "label", "place", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> Model:
@@ -148,9 +144,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     small_batches(docs.sparkSession)
     known = labels.where(f"{id_col} is not null and {label_col} is not null").groupBy(F.col(id_col).alias("doc_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
     chosen = hash_sample(known, "label", "doc_id", per_class)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = one_text(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")), chosen, "label", "doc_id", "text")
     kind = docs.schema[id_col].dataType.simpleString()
-    got = rows.mapInArrow(_sample, f"doc_id {kind}, label int, x binary").toArrow().sort_by("doc_id")
+    got = rows.mapInArrow(_sample, f"doc_id {kind}, label int, place long, x binary").toArrow().sort_by([("doc_id", "ascending"), ("place", "ascending")])
     if not got.num_rows:
         return Model(None)
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float16).reshape(got.num_rows, -1).astype(np.float32)
