@@ -24,7 +24,7 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +46,9 @@ ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 PUNCTUATION = re.compile(r"[.,;:!?…。]")
 
-#: Elements whose content isn't text of the page.
-RAW = {"script", "style", "template", "noscript", "iframe", "svg", "math", "object", "textarea", "select", "canvas", "audio", "video", "head"}
+#: Elements whose content isn't text of the page: code, the head and titles, embedded pages, and controls of forms. Others that
+#: aren't listed here, such as math, noscript and svg, are inline: their text stays, wherever they are left open.
+RAW = {"script", "style", "template", "iframe", "textarea", "select", "head", "title"}
 #: Of these, raw text: without an end tag they hold the rest of the page. The others then hold nothing.
 TO_THE_END = ("script", "style", "textarea", "iframe")
 #: Elements that may stand in a head; any other ends it, as text does.
@@ -88,7 +89,7 @@ TAG_BITS = {
 ROLES = {"navigation": "nav", "banner": "head", "contentinfo": "foot", "complementary": "side", "search": "form", "main": "content", "article": "content", "alert": "notice", "dialog": "notice"}
 
 
-@cache
+@lru_cache(1 << 16)
 def token_bits(value: str) -> int:
     bits = 0
     for word in TOKEN.findall(value):
@@ -142,17 +143,24 @@ def _tags_of(name: str) -> re.Pattern:
     return re.compile(skipped + rf"<(?P<close>/?){name}(?=[\s/>])(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>", re.IGNORECASE | re.DOTALL)
 
 
+TITLE_END = re.compile(r"</title(?=[\s/>])[^>]*>", re.IGNORECASE)
+
+
 class Ends:
     """Where the content of an element ends, by its name and the end of its start tag; one pass over the page for each name."""
 
     def __init__(self, source: str):
-        self.source, self.known = source, {}
+        self.source, self.known, self.titled = source, {}, True
 
     def after(self, name: str, at: int) -> int | None:
         """Behind the end tag of the element whose start tag ends at `at`; None without an end tag."""
         if name in TO_THE_END:
             m = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE).search(self.source, at)
             return m.end() if m else len(self.source)
+        if name == "title":  # its text is raw, too
+            m = TITLE_END.search(self.source, at) if self.titled else None
+            self.titled = m is not None
+            return m.end() if m else None
         if name not in self.known:
             ends, ahead = {}, []
             for m in _tags_of(name).finditer(self.source):
@@ -185,6 +193,7 @@ def parse(source: str) -> Page:
     stack: list[int] = []
     text: list[str] = []
     in_link = 0
+    open_now = [0] * len(BLOCKS)  # elements of each tag on the stack, the page itself aside
 
     def flush() -> None:
         if text:
@@ -213,11 +222,14 @@ def parse(source: str) -> Page:
         page.links.append(0)
         if up >= 0:
             page.children[up] += 1
+            open_now[NUMBER[name]] += 1
         stack.append(at)
 
     def pop() -> None:
         flush()
-        page.end[stack.pop()] = len(page.tag)
+        x = stack.pop()
+        page.end[x] = len(page.tag)
+        open_now[page.tag[x]] -= 1
 
     push("html", 0, "")
     at, size, ends = 0, len(source), Ends(source)
@@ -247,8 +259,7 @@ def parse(source: str) -> Page:
         elif name in NUMBER:
             if closing:
                 in_link = 0
-                open_tags = [page.tag[x] for x in stack]
-                if len(stack) > 1 and NUMBER[name] in open_tags[1:]:
+                if open_now[NUMBER[name]]:
                     while page.tag[stack[-1]] != NUMBER[name]:
                         pop()
                     pop()
