@@ -25,19 +25,30 @@ from lattica.llm.textkernel import SPACE, Texts, repeats, windows
 
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
-#: A line is boilerplate if one of these phrases makes up its body.
-BOILERPLATE = re.compile(
-    r"^\W*(all rights reserved|copyright\b|©|\(c\) \d{4}|terms (of use|of service|and conditions)|privacy policy|cookie policy"
+#: Phrases that a boilerplate line begins with and is mostly made of, by language.
+PHRASE = {
+    "en": r"all rights reserved|copyright\b|©|\(c\) \d{4}|terms (of use|of service|and conditions)|privacy policy|cookie policy|legal notice"
     r"|this (site|website|page) uses cookies|we use cookies|accept (all )?cookies|enable javascript|javascript (is|must be)"
     r"|sign (in|up)\b|log ?in\b|subscribe\b|share (this|on)\b|follow us\b|skip to (main )?content|back to top|read more\b"
-    r"|click here\b|powered by\b|lorem ipsum)",
-    re.IGNORECASE,
-)
-PHRASES = re.compile(BOILERPLATE.pattern.removeprefix(r"^\W*") + r"|\b\d{4}\b", re.IGNORECASE)
+    r"|click here\b|powered by\b|lorem ipsum",
+    "de": r"alle rechte vorbehalten|impressum\b|datenschutz(erkl[äÄ]rung)?\b|nutzungsbedingungen|cookie-richtlinie|wir verwenden cookies"
+    r"|(alle )?cookies akzeptieren|anmelden\b|registrieren\b|newsletter abonnieren|jetzt teilen|folgen sie uns|zum (haupt)?inhalt springen"
+    r"|nach oben\b|weiterlesen\b|mehr lesen\b|hier klicken",
+    "fr": r"tous droits r[éÉ]serv[éÉ]s|mentions l[éÉ]gales|politique de (confidentialit[éÉ]|cookies)|conditions d['’]utilisation"
+    r"|(nous utilisons|accepter) (des|les) cookies|se connecter\b|s['’](inscrire|abonner)\b|partager (cet|sur)\b|suivez-nous\b"
+    r"|aller au contenu|haut de page|lire la suite|cliquez ici",
+    "es": r"todos los derechos reservados|aviso legal|pol[íÍ]tica de (privacidad|cookies)|t[éÉ]rminos y condiciones|condiciones de uso"
+    r"|(usamos|utilizamos|aceptar) (las )?cookies|iniciar sesi[óÓ]n|reg[íÍ]strate|suscr[íÍ]bete|comparte (esto|en)\b|s[íÍ]guenos\b"
+    r"|saltar al contenido|volver arriba|leer m[áÁ]s|haz clic aqu[íÍ]",
+}
+_PHRASES = "|".join(PHRASE.values())
+BOILERPLATE = re.compile(rf"^\W*({_PHRASES})", re.IGNORECASE | re.ASCII)
+PHRASES = re.compile(rf"({_PHRASES})|\b\d{{4}}\b", re.IGNORECASE | re.ASCII)
 #: Further words that a line may have besides its phrases if it isn't a sentence.
 FURTHER_WORDS = 3
 #: Navigation: short items joined by separators.
-SEPARATORS = re.compile(r"\s[|»›>•·/]\s")
+SEPARATORS = re.compile(r"[\x20\x09-\x0D][|»›>•·/][\x20\x09-\x0D]")
+BLANK = " \t\n\v\f\r"
 
 #: Bytes that prose has few of; bytes that are letters or part of a character beyond ASCII, or spaces between them.
 MARKS = b"#*$%&|<>=~^_{}\\"
@@ -53,26 +64,25 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 def is_boilerplate(body: str) -> bool:
     """It begins with a phrase, and its phrases and years hold half of it, or few words follow that aren't a sentence's."""
-    if len(body) > 200 or not BOILERPLATE.match(body):
+    if not BOILERPLATE.match(body):
         return False
-    rest = PHRASES.sub(" ", body)
     if 2 * sum(m.end() - m.start() for m in PHRASES.finditer(body)) >= len(body):
         return True
-    return len(rest.split()) <= FURTHER_WORDS and body[-1] not in ".!?"
+    return body[-1] not in ".!?" and len(PHRASES.sub(" ", body).encode().split()) <= FURTHER_WORDS
 
 
 def line_verdict(line: str) -> str | None:
     """The rule that removes this line, or None to keep it."""
-    body = line.strip()
+    body = line.strip(BLANK)
     if not body:
         return None
     if is_boilerplate(body):
         return "boilerplate"
-    words = body.split()
+    raw = body.encode()
+    words = raw.split()
     joints = len(SEPARATORS.findall(f"{body} "))
     if joints >= 2 and joints * 6 >= len(words):
         return "navigation"
-    raw = body.encode()
     if (len(raw) - len(raw.translate(None, MARKS))) * 10 > len(raw):
         return "punctuation"
     if len(raw) >= 8 and len(raw.translate(None, LETTERS)) * 2 > len(raw):
@@ -89,7 +99,7 @@ def clean_text(text: str) -> tuple[str, float]:
     """The lines that pass, and the share of the lines' characters that they hold (1 for a text without any)."""
     kept, before, after = [], 0, 0
     for line in text.split("\n"):
-        n = len(line.strip())
+        n = len(line.strip(BLANK))
         before += n
         if line_verdict(line) is None:
             kept.append(line)
