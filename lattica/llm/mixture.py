@@ -7,7 +7,9 @@ again by weight until no source is above. (Sorting sources by capacity over weig
 Each source is a stream of its documents in an order drawn from md5(seed, doc_id). The target says how often the stream is
 passed: whole passes, then the documents whose middle lies below the remainder. A source's demand over training time
 t in [0, 1] follows its weight schedule w(t) = 1 + a (2t - 1); its integral t + a (t^2 - t) is the cumulative share of the
-target asked for by time t, and inverting it gives every copy of a document the time at which its middle is asked for.
+target asked for by time t, and inverting it gives every copy of a document the time at which its middle is asked for. Copies
+are then range-sorted by that time: its unit interval is cut into as many parts as there are shuffle partitions, each is sorted
+by itself, and a copy's rank is its place in its part behind the counts of the parts before.
 
 Offsets within a source are two-level prefix sums: over BUCKETS hash buckets of (source, bucket) totals, then inside a
 bucket, so that one source with a third of all rows is spread over thousands of windows.
@@ -93,22 +95,43 @@ def position(copy: Column, start: Column, size: Column, source_size: Column, tar
 COLUMNS = ("source_size", "target", "slope", "start", "copies")
 
 
+def _part(position: Column, parts: int) -> Column:
+    return F.least(F.floor(position * parts), F.lit(parts - 1)).cast("int")
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", **options) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken (words the mix takes, repeats counted) and
-    first_position, the training position of its first copy (null without one)."""
+    """One row per document: doc_id, size, source_size, target, copies, taken (words the mix takes, repeats counted), and for its
+    copies in turn positions, their times in training, and ranks, their places among all copies in training order (by position,
+    then id and copy, from 0)."""
     sized = checkpoint(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), order_hash(F.col(id_col), seed).alias("order")
         ).select("*", _key(F.col("source")).alias("key"), F.substring("order", 1, 3).alias("bucket"))
     )
     rows = _planned(sized.drop("source"), sized, "key", "bucket", "order", "size", "doc_id", {c: c for c in COLUMNS}, **options)
-    first = position(F.lit(0), F.col("start"), F.col("size"), F.col("source_size"), F.col("target"), F.col("slope"))
-    return rows.select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
-        F.when(F.col("copies") > 0, first).alias("first_position"),
+    place = lambda copy: position(copy, F.col("start"), F.col("size"), F.col("source_size"), F.col("target"), F.col("slope"))
+    turns = F.when(F.col("copies") > 0, F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).otherwise(F.array().cast("array<long>"))
+    nth = F.row_number().over(W.partitionBy("key", "bucket").orderBy("order", "doc_id", "size"))
+    rows = checkpoint(rows.withColumns({"nth": nth, "positions": F.transform(turns, place)}).drop("order", "start", "slope"))
+    ranked = _ranked(rows.select("key", "bucket", "nth", "doc_id", F.posexplode("positions").alias("copy", "position")), ["position", "doc_id", "copy"])
+    ranks = ranked.groupBy("key", "bucket", "nth").agg(F.transform(F.array_sort(F.collect_list(F.struct("copy", "rank"))), lambda r: r["rank"]).alias("ranks"))
+    return rows.join(ranks, ["key", "bucket", "nth"], "left").select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "positions",
+        F.coalesce("ranks", F.array().cast("array<long>")).alias("ranks"),
     )
 
 
+def _ranked(copies: DataFrame, order: list[str]) -> DataFrame:
+    """copies with their rank in the order given, which begins with the position. The only window over all parts runs over their
+    counts."""
+    parts = int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = copies.withColumn("part", _part(F.col("position"), parts))
+    counts = copies.groupBy("part").agg(F.count("*").alias("n"))
+    ahead = counts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("ahead"))
+    inside = F.row_number().over(W.partitionBy("part").orderBy(*order))
+    return copies.withColumn("inside", inside).join(F.broadcast(ahead), "part").withColumn("rank", F.col("ahead") + F.col("inside") - 1)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", position_col: str | None = None, **options) -> DataFrame:
     """The mixed corpus in the columns of docs: every document as often as the plan takes it, range-sorted by training
     position (partition i holds the i-th part of training time). position_col keeps the position under that name."""
@@ -122,5 +145,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.where(F.col(out["copies"]) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), F.col(out["copies"]) - 1)))
     rows = rows.withColumn(at, position(F.col(copy), F.col(out["start"]), F.col(size), F.col(out["source_size"]), F.col(out["target"]), F.col(out["slope"])))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionById(parts, F.least(F.floor(F.col(at) * parts), F.lit(parts - 1)).cast("int")).sortWithinPartitions(at, id_col, copy)
+    rows = rows.repartitionById(parts, _part(F.col(at), parts)).sortWithinPartitions(at, id_col, copy)
     return rows.select(*docs.columns, *([F.col(at).alias(position_col)] if position_col else []))
