@@ -5,8 +5,11 @@ weight of the paths that reach it; backward sampling walks from the end and draw
 the paths through it, which samples whole segmentations from the model's distribution. The random numbers are a hash of the
 row key and of the node's place in the text, so a row's segmentation is the same on every run, machine and partitioning.
 
-No piece has a space after a non-space or a line feed inside, so the lattice falls apart at these places into words; a
-word's forward pass is done once per chunk of texts, and all draws of a chunk run side by side in numpy.
+No piece has a space after a non-space or a line feed inside, so the lattice falls apart at these places into words. A long
+word, as text without spaces makes, is cut further wherever no piece that matches lies across: every path passes there, so both
+sides are independent. The forward pass of such a segment is done once per chunk of texts, and all draws of a chunk run side by
+side in numpy; the few segments that are still long, such as one letter many times over, are walked one by one, edge by edge.
+Path weights are kept relative to the newest node's in double precision, which holds them for the longest piece: none is clipped.
 
 A space is the piece character U+2581, and a code point without a piece, U+2581 itself included, is spelled in byte pieces;
 nothing is normalised and no space is put in front, so decoding gives the text back exactly.
@@ -46,8 +49,8 @@ SPACE_MARK = 0x2581
 #: Stands for U+2581 in a text, which no piece may match.
 OUTSIDE = 0x110000
 WORDS = re.compile(r" *[^ \n]+| +|\n")
-#: Older nodes' weights, relative to the newest, are held below this.
-LARGE = np.float32(1e30)
+#: Words above the first length (in code points) are cut further; segments above the second are walked one by one.
+CUT_ABOVE, WALK_ABOVE = 48, 256
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -110,6 +113,8 @@ class Table:
         rank = np.array(vocabulary.rank)
         self.weight = ((rank + 2) ** -alpha).astype(np.float32)
         self.fallback = np.float32((len(rank) + 2.0) ** -alpha)
+        if self.longest * abs(alpha) * np.log10(len(rank) + 2.0) > 300:
+            raise ValueError("path weights over the longest piece don't fit a double")
 
     def _slot(self, h: int) -> int:
         return (h * int(_BASE) % (1 << 64)) >> (64 - self.bits)
@@ -134,6 +139,77 @@ def _code_points(text: str) -> np.ndarray:
     return cps
 
 
+def _matches(cps: np.ndarray, left: np.ndarray, table: Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, starts, pieces) of the pieces of each length that match; left: code points from a place to its word's end."""
+    at, h = np.arange(len(cps)), np.zeros(len(cps), np.uint64)
+    for length in range(1, table.longest + 1):
+        h = h * _BASE + cps[at + length - 1] + np.uint64(1)
+        found = table.find(h)
+        hit = found >= 0
+        yield length, at[hit], found[hit]
+        alive = (found > -2) & (left[at] > length)
+        at, h = at[alive], h[alive]
+        if not len(at):
+            return
+
+
+def segments(word: str, table: Table) -> list[str]:
+    """The word cut wherever no piece that matches lies across."""
+    n = len(word)
+    across = np.zeros(n + 1, np.int64)
+    for length, starts, _ in _matches(_code_points(word), np.arange(n, 0, -1), table):
+        if length > 1:
+            across += np.bincount(starts + 1, minlength=n + 1)[: n + 1] - np.bincount(starts + length, minlength=n + 1)[: n + 1]
+    cuts = np.flatnonzero(np.cumsum(across)[:n] == 0).tolist()
+    return [word[i:j] for i, j in zip(cuts, [*cuts[1:], n], strict=True)]
+
+
+class Walk:
+    """The lattice of one long segment: its edges by the node where they end, with their cumulative probabilities there."""
+
+    def __init__(self, segment: str, table: Table):
+        cps, n = _code_points(segment), len(segment)
+        ends, lengths, pieces = [], [], []
+        alone = np.ones(n, bool)
+        for length, starts, found in _matches(cps, np.arange(n, 0, -1), table):
+            if length == 1:
+                alone[starts] = False
+            ends.append(starts + length)
+            lengths.append(np.full(len(starts), length))
+            pieces.append(found.astype(np.int64))
+        bare = np.flatnonzero(alone)
+        ends, lengths = np.concatenate([*ends, bare + 1]), np.concatenate([*lengths, np.ones(len(bare), np.int64)])
+        pieces = np.concatenate([*pieces, -1 - cps[bare].astype(np.int64)])
+        order = np.lexsort((lengths, ends))
+        ends, lengths, pieces = ends[order], lengths[order], pieces[order]
+        self.n, self.lengths, self.pieces = n, lengths.tolist(), pieces.tolist()
+        self.first = np.searchsorted(ends, np.arange(n + 2)).tolist()
+        weights = np.where(pieces >= 0, table.weight[np.maximum(pieces, 0)], table.fallback).astype(np.float64).tolist()
+        total, self.cumulative = [1.0], [0.0] * len(weights)
+        for node in range(1, n + 1):
+            run, a, b = 0.0, self.first[node], self.first[node + 1]
+            for e in range(a, b):
+                run += total[node - self.lengths[e]] * weights[e]
+                self.cumulative[e] = run
+            for e in range(a, b):
+                self.cumulative[e] /= run
+            total.append(run)
+            if run < 1e-150:  # only as many nodes back as the longest piece count from here
+                for x in range(max(0, node - table.longest), node + 1):
+                    total[x] *= 1e150
+
+    def draw(self, u: list[float]) -> list[int]:
+        """Pieces from the end backwards; u: a number in [0, 1) per node from 1 on."""
+        out, node = [], self.n
+        while node:
+            e, last = self.first[node], self.first[node + 1] - 1
+            while e < last and self.cumulative[e] <= u[node - 1]:
+                e += 1
+            out.append(self.pieces[e])
+            node -= self.lengths[e]
+        return out
+
+
 def forward(words: list[str], table: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The lattices of the words. Words are ranked by length, longest first, so the words that reach place p are the first
     ones, and the node p + 1 of the word of rank r is row level[p] + r. Per node: the cumulative probability and the piece
@@ -151,36 +227,25 @@ def forward(words: list[str], table: Table) -> tuple[np.ndarray, np.ndarray, np.
     place = np.arange(n) - np.repeat(start, lengths)
     row = level[place] + np.repeat(rank, lengths)
     left = np.repeat(lengths, lengths) - place  # code points from here to the word's end
-    layers: list[tuple[np.ndarray, np.ndarray]] = []
-    at, h = np.arange(n), np.zeros(n, np.uint64)
-    for length in range(1, table.longest + 1):
-        h = h * _BASE + cps[at + length - 1] + np.uint64(1)
-        found = table.find(h)
-        hit = found >= 0
-        layers.append((row[at[hit] + length - 1], found[hit]))
-        alive = (found > -2) & (left[at] > length)
-        at, h = at[alive], h[alive]
-        if not len(at):
-            break
+    layers = [(row[starts + length - 1], found) for length, starts, found in _matches(cps, left, table)]
     k = len(layers)
     weight, piece = np.zeros((k, n), np.float32), np.zeros((n, k), np.int32)
     weight[0] = table.fallback
     piece[row, 0] = -1 - cps.astype(np.int64)
     for i, (ends, found) in enumerate(layers):
         weight[i, ends], piece[ends, i] = table.weight[found], found
-    recent = np.zeros((k, len(words)), np.float32)  # total weight of the nodes 1, 2, ... places back, up to a factor
+    recent = np.zeros((k, len(words)))  # total weight of the nodes 1, 2, ... places back, relative to the newest
     recent[0] = 1
     for p, m in enumerate(active.tolist()):
         wide = min(p + 1, k)
         recent = recent[:, :m]
-        run = weight[:wide, level[p] : level[p + 1]]
-        run *= recent[:wide]
+        run = weight[:wide, level[p] : level[p + 1]] * recent[:wide]
         for i in range(1, wide):
             run[i] += run[i - 1]
         total = run[-1].copy()
-        run /= total
+        weight[:wide, level[p] : level[p + 1]] = run / total
         weight[wide:, level[p] : level[p + 1]] = 1
-        recent = np.concatenate((np.ones((1, m), np.float32), np.minimum(recent[: k - 1] / total, LARGE)))
+        recent = np.concatenate((np.ones((1, m)), recent[: k - 1] / total))
     weight = np.ascontiguousarray(weight.T)
     return rank, lengths, level, weight, piece
 
@@ -188,12 +253,24 @@ def forward(words: list[str], table: Table) -> tuple[np.ndarray, np.ndarray, np.
 def encode(texts: list[str], seeds: np.ndarray, table: Table, byte_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts end to end, and their offsets. seeds: one uint64 per text."""
     found = [WORDS.findall(x) for x in texts]
+    cut: dict[str, list[str]] = {}
+    for i, words in enumerate(found):
+        if len(texts[i]) > CUT_ABOVE and len(max(words, key=len)) > CUT_ABOVE:
+            for w in words:
+                if len(w) > CUT_ABOVE and w not in cut:
+                    cut[w] = segments(w, table)
+            found[i] = [x for w in words for x in (cut[w] if len(w) > CUT_ABOVE else (w,))]
     n_words = np.fromiter(map(len, found), np.int64, len(found))
     known = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(found)))}
     if not known:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     word = np.fromiter(map(known.__getitem__, chain.from_iterable(found)), np.int64, int(n_words.sum()))
-    rank, lengths, level, cumulative, piece = forward(list(known), table)
+    lengths = np.fromiter(map(len, known), np.int64, len(known))
+    walks = {i: Walk(w, table) for w, i in known.items() if lengths[i] > WALK_ABOVE}
+    short = [w for w in known if len(w) <= WALK_ABOVE]
+    rank = np.zeros(len(known), np.int64)
+    if short:
+        rank[lengths <= WALK_ABOVE], _, level, cumulative, piece = forward(short, table)
     size = lengths[word]
     owner = np.repeat(np.arange(len(texts)), n_words)
     place = np.cumsum(size) - size  # of a word in its text
@@ -201,14 +278,13 @@ def encode(texts: list[str], seeds: np.ndarray, table: Table, byte_id: np.ndarra
     first = np.where(n_words > 0, place[np.minimum(text_start, len(word) - 1)], 0)
     place = (place - first[owner]).astype(np.uint64)
     seed = seeds[owner]
-    node, active, drawn, whose = size.copy(), np.arange(len(word)), [], []
+    chance = lambda who, node: (mix(seed[who] ^ mix(place[who] + node.astype(np.uint64))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+    node, active, drawn, whose = size.copy(), np.flatnonzero(size <= WALK_ABOVE), [], []
     base = rank[word]
     while len(active):
         at = base[active] + level[node[active] - 1]
         c = cumulative[at]
-        u = mix(seed[active] ^ mix(place[active] + node[active].astype(np.uint64))) >> np.uint64(11)
-        u = u.astype(np.float64) * 2.0**-53
-        length = (c <= u[:, None]).sum(axis=1)
+        length = (c <= chance(active, node[active])[:, None]).sum(axis=1)
         drawn.append(piece[at, length])
         whose.append(active)
         node[active] -= length + 1
@@ -216,10 +292,16 @@ def encode(texts: list[str], seeds: np.ndarray, table: Table, byte_id: np.ndarra
     steps = np.zeros(len(word), np.int64)
     for w in whose:
         steps[w] += 1
+    walked = {}
+    for x in np.flatnonzero(size > WALK_ABOVE).tolist() if walks else ():
+        walked[x] = walks[word[x]].draw(chance(np.array([x]), np.arange(1, size[x] + 1)).tolist())
+        steps[x] = len(walked[x])
     ends = np.cumsum(steps)
     flat = np.empty(int(ends[-1]), np.int32)
     for i, (w, d) in enumerate(zip(whose, drawn, strict=True)):
         flat[ends[w] - 1 - i] = d
+    for x, ids in walked.items():
+        flat[ends[x] - len(ids) : ends[x]] = ids[::-1]
     bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_words)))]
     spelled = flat < 0
     if spelled.any():
