@@ -226,11 +226,15 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
 
 def search(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, ef: int = EF_SEARCH, block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of every usable query row, its own id left out."""
+    """(query_id, rank, vec_id, score): the k nearest found of every usable query row, its own id left out. A task searches one
+    shard for one block of queries: it holds shard_rows vectors and about `block` queries, whatever the tables' sizes, and is
+    read once each by the tasks of its row and column; only k rows a query leave it."""
     rows = _rows(queries, id_col, vector_col).distinct()
     blocks = max(1, -(-rows.count() // block))
-    shards = index.select(F.col("dim").alias("length"), F.col("shard").alias("part"))
-    asked = rows.withColumn("ask", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).join(shards, F.col("dim") == F.col("length"))
+    shards = index.agg(F.max("shard")).first()[0]
+    if shards is None:
+        return rows.where("false").select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
+    asked = rows.select("id", "vector", F.col("dim").alias("length"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("ask"), F.explode(F.sequence(F.lit(0), F.lit(shards))).alias("part"))
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = held.groupBy("dim", "shard", "block").cogroup(asked.groupBy("length", "part", "ask")).applyInArrow(
         lambda key, a, b: _search_shard(key, a, b, k, ef), "query_id long, vec_id long, score double"
