@@ -154,6 +154,15 @@ def global_index(df: DataFrame, *order: str | Column, name: str = "i") -> DataFr
     return laid.join(starts, "__p").withColumn(name, F.col("__s") + F.col("__j")).drop("__p", "__j", "__s")
 
 
+def running_total(df: DataFrame, value: str, *order: str, name: str = "stop") -> DataFrame:
+    """df with the sum of `value` up to and with each row in the given order: in two phases, like global_index."""
+    laid = checkpoint(df.repartitionByRange(*order).select("*", F.spark_partition_id().alias("__p")))
+    sums = laid.groupBy("__p").agg(F.sum(value).alias("__t"))
+    before = sums.select("__p", (F.sum("__t").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, 0)) - F.col("__t")).alias("__s"))
+    inside = F.sum(value).over(W.partitionBy("__p").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    return laid.withColumn("__r", inside).join(before, "__p").withColumn(name, F.col("__s") + F.col("__r")).drop("__p", "__s", "__r")
+
+
 def shard_of(i: Column, n: Column, world: int) -> Column:
     """The rank whose slice [n r // W, n (r + 1) // W) holds place i."""
     return F.floor(((i + 1) * world - 1) / n).cast("int")

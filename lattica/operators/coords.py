@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lattica.functions import curves
+from lattica.operators.catalog import running_total
 from lattica.session import ship
 
 KEY = ("b", "x", "y", "z")
@@ -212,17 +214,20 @@ def segment_std(df: DataFrame, segment: str, feats: str) -> DataFrame:
 
 
 def segment_offsets(df: DataFrame, segment: str) -> DataFrame:
-    """(segment, n, start, stop): lengths and running offsets; the window runs over the segments' counts only."""
-    counts = df.groupBy(segment).agg(F.count("*").alias("n"))
-    stop = F.sum("n").over(W.orderBy(segment).rowsBetween(W.unboundedPreceding, 0))
-    return counts.select(segment, "n", (stop - F.col("n")).alias("start"), stop.alias("stop"))
+    """(segment, n, start, stop): lengths and running offsets, summed in two phases."""
+    counts = running_total(df.groupBy(segment).agg(F.count("*").alias("n")), "n", segment)
+    return counts.select(segment, "n", (F.col("stop") - F.col("n")).alias("start"), "stop")
 
 
-def to_dense(df: DataFrame, segment: str, order: str, values: Sequence[str]) -> DataFrame:
-    """(segment, pos, values..., valid): segments padded to the longest one; a padded place repeats the segment's last row."""
+def to_dense(df: DataFrame, segment: str, order: str, values: Sequence[str], most: int | None = None) -> DataFrame:
+    """(segment, pos, values..., valid): segments padded to the longest one; a padded place repeats the segment's last row. most:
+    a longest one beyond it is an error, for it multiplies the table."""
     placed = df.withColumn("pos", (F.row_number().over(W.partitionBy(segment).orderBy(order)) - 1).cast("long"))
     counts = placed.groupBy(segment).agg(F.count("*").alias("n"))
     longest = counts.agg(F.max("n").alias("length"))
+    if most is not None:
+        too_long = F.raise_error(F.concat(F.lit("a segment has rows: "), F.col("length").cast("string")))
+        longest = longest.select(F.when(F.col("length") <= most, F.col("length")).otherwise(too_long.cast("long")).alias("length"))
     spine = counts.crossJoin(F.broadcast(longest)).select(segment, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1)).alias("at"))  # longest: one row
     spine = spine.withColumn("pos", F.least(F.col("at"), F.col("n") - 1))
     return spine.join(placed, [segment, "pos"]).select(segment, F.col("at").alias("pos"), *values, (F.col("at") < F.col("n")).alias("valid"))
@@ -239,12 +244,13 @@ def extents(df: DataFrame) -> DataFrame:
 
 
 def renumber_concat(tables: Sequence[DataFrame], batch: str = "b") -> DataFrame:
-    """Union of batches; the batches of each table are shifted behind those before it."""
-    out, offset = None, 0
+    """Union of batches; the batches of each table are shifted behind those before it. The shifts are one-row tables."""
+    out, shift = None, None
     for df in tables:
-        moved = df.withColumn(batch, F.col(batch) + offset)
+        moved = df if shift is None else df.crossJoin(F.broadcast(shift)).withColumn(batch, (F.col(batch) + F.col("__shift")).cast(df.schema[batch].dataType)).drop("__shift")
         out = moved if out is None else out.unionByName(moved)
-        offset += int(df.agg(F.coalesce(F.max(batch) + 1, F.lit(0))).first()[0])
+        own = df.agg(F.coalesce(F.max(batch) + 1, F.lit(0)).alias("__own"))
+        shift = own.select(F.col("__own").alias("__shift")) if shift is None else shift.crossJoin(own).select((F.col("__shift") + F.col("__own")).alias("__shift"))
     return out
 
 
@@ -264,6 +270,42 @@ def concat_channels(a: DataFrame, b: DataFrame, feats: str = "feats") -> DataFra
     return combine(a, b, F.concat, feats)
 
 
+#: The six cells that share a face with a cell.
+SIX: tuple[Offset, ...] = tuple(tuple(d if i == axis else 0 for i in range(3)) for axis in range(3) for d in (-1, 1))
+
+
+def six_neighbours(cells: DataFrame, take: Sequence[str] = ()) -> DataFrame:
+    """(cell key, k, take...) of the cells across a face that exist; k numbers -x, +x, -y, +y, -z, +z."""
+    return neighbours(cells, cells, SIX, take=take)
+
+
+def align_sorted(a: DataFrame, b: DataFrame, values_a: Sequence[str], values_b: Sequence[str]) -> DataFrame:
+    """(b, x, y, z, values of both) of all cells of either set, merged in the order of their places on the z-order curve: both sides
+    are ranged by (batch, code), so neighbours in space are neighbours in the result's partitions."""
+    code = curves.z_order(*AXES).alias("__code")
+    left, right = a.select("b", code, *values_a), b.select("b", code, *values_b)
+    met = left.hint("merge").join(right, ["b", "__code"], "full")
+    rows = met.repartitionByRange("b", "__code").sortWithinPartitions("b", "__code").withColumn("__c", curves.z_order_decode("__code"))
+    return rows.select("b", *[F.col(f"__c.{k}").alias(k) for k in AXES], *values_a, *values_b)
+
+
+def reshape(feats: Column, width: int) -> Column:
+    """A flat channel array as rows of `width`; channels that don't fill the last row are an error."""
+    rows = F.transform(F.sequence(F.lit(1), F.size(feats), F.lit(width)), lambda i: F.slice(feats, i, F.lit(width)))
+    return F.when(F.pmod(F.size(feats), F.lit(width)) == 0, rows).otherwise(F.array(F.array(F.raise_error(F.lit(f"channels don't fill rows of {width}")).cast("double"))))
+
+
+def cast_channels(feats: Column, kind: str) -> Column:
+    return feats.cast(f"array<{kind}>")
+
+
+def batch_operand(df: DataFrame, operand: DataFrame, op: Callable[[Column, Column], Column], feats: str = "feats", value: str = "operand") -> DataFrame:
+    """op of every row's channels with its batch's operand (b, operand array, a row per batch); a batch without one is an error."""
+    met = df.join(operand.select("b", F.col(value).alias("__o")), "b", "left")
+    there = F.when(F.col("__o").isNotNull(), F.zip_with(feats, "__o", op)).otherwise(F.array(F.raise_error(F.lit("a batch has no operand")).cast("double")))
+    return met.withColumn(feats, there).drop("__o")
+
+
 def same_cells(a: DataFrame, b: DataFrame) -> bool:
     """Do both tables have exactly the same coordinates?"""
     x, y = a.select(*KEY), b.select(*KEY)

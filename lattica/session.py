@@ -27,11 +27,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names, which all executors share; only where that is unset, as in tests, a folder
-    of our own."""
+    """The folder that spark.checkpoint.dir names, which all executors share. Only in one JVM, as in tests, may it be unset, and
+    then a folder of our own serves."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lattica-checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if named is None and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lattica-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -44,3 +47,9 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

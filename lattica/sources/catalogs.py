@@ -7,6 +7,7 @@ import json
 import pickle
 import re
 import tarfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lattica.operators.catalog import STAGES, last_writer, without
-from lattica.session import ship
+from lattica.session import checkpoint, ship
 
 _REGISTRY: dict[str, Callable[..., DataFrame]] = {}
 
@@ -79,30 +80,36 @@ def file_hashes(spark: SparkSession, folder: str, pattern: str = "*") -> DataFra
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def _members(data: bytes, name: str) -> Iterator[tuple[str, bytes]]:
+def _members(file, name: str) -> Iterator[tuple[str, Callable[[], bytes]]]:
+    """Names of an archive's members and how to read each; the archive is read in place, member by member."""
     if name.endswith(".zip"):
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
+        with zipfile.ZipFile(file) as z:
             for info in z.infolist():
                 if not info.is_dir():
-                    yield info.filename, z.read(info)
+                    yield info.filename, lambda info=info: z.read(info)
     else:
-        with tarfile.open(fileobj=io.BytesIO(data)) as t:
+        with tarfile.open(fileobj=file) as t:
             for info in t:
                 if info.isfile():
-                    yield info.name, t.extractfile(info).read()
+                    yield info.name, lambda info=info: t.extractfile(info).read()
 
 
 def read_archives(spark: SparkSession, folder: str, member: str = ".*", pattern: str = "*.{zip,tar,tar.gz,tgz}") -> DataFrame:
-    """(archive, member, content, sha256) of the members of zip and tar files whose whole name matches the expression."""
+    """(archive, member, content, sha256) of the members of zip and tar files whose whole name matches the expression. Archives
+    may be of any size: each is opened where it lies, and one member at a time is in memory."""
+    from lattica.sources.voxel_files import _open
+
     ship(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder).select("path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                for name, content in _members(data, path):
-                    if re.fullmatch(member, name):
-                        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([name]), pa.array([content], pa.binary())], names=["archive", "member", "content"])
+            for path in batch.column("path").to_pylist():
+                system, local = _open(path)
+                with system.open_input_file(local) as file:
+                    for name, read in _members(file, path):
+                        if re.fullmatch(member, name):
+                            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([name]), pa.array([read()], pa.binary())], names=["archive", "member", "content"])
 
     return files.mapInArrow(run, "archive string, member string, content binary").withColumn("sha256", F.sha2("content", 256))
 
@@ -204,21 +211,35 @@ PROGRESS = T.StructType([
 ])
 
 
+def _progress_lines(spark: SparkSession, glob: str) -> DataFrame:
+    bad = T.StructField("__bad", T.StringType())
+    return spark.read.schema(T.StructType([*PROGRESS.fields, bad])).option("columnNameOfCorruptRecord", "__bad").json(glob)
+
+
 def read_progress(spark: SparkSession, glob: str) -> DataFrame:
-    """The last record of each key over the logs of all ranks (JSON lines); unreadable lines are left out, and a later file
-    name wins."""
-    rows = spark.read.schema(PROGRESS).option("mode", "DROPMALFORMED").json(glob).withColumn("source", F.input_file_name())
-    return last_writer(rows.where(F.col("key").isNotNull()), "key", "source").drop("source")
+    """The last record of each key, whole, over the logs of all ranks (JSON lines): a later file name wins, and in one file a
+    later line. Unreadable lines are left out; progress_errors has them."""
+    rows = _progress_lines(spark, glob).withColumns({"__file": F.col("_metadata.file_path"), "__block": F.col("_metadata.file_block_start")})
+    place = F.struct("__file", "__block", F.monotonically_increasing_id())  # in a block, ids follow the lines
+    rows = rows.withColumn("__place", place).where(F.col("__bad").isNull() & F.col("key").isNotNull())
+    return last_writer(rows.drop("__bad", "__file", "__block"), "key", "__place").drop("__place")
+
+
+def progress_errors(spark: SparkSession, glob: str) -> DataFrame:
+    """(source, line) of the log lines that can't be read or have no key."""
+    rows = _progress_lines(spark, glob).select("key", "__bad", F.col("_metadata.file_path").alias("source"))
+    return checkpoint(rows.where(F.col("__bad").isNotNull() | F.col("key").isNull())).select("source", F.col("__bad").alias("line"))
 
 
 def fetch_remaining(wanted: DataFrame, key: str, fetch: Callable[[DataFrame], DataFrame], retries: int = 3) -> DataFrame:
-    """Fetched rows (key, ...) after up to `retries` rounds over what is still missing; each round is one distributed map."""
+    """Fetched rows (key, ...) after up to `retries` rounds over what is still missing; each round is one distributed map, and
+    its rows are written down, so that a source is asked once a round and what was seen is what is returned."""
     got = None
     for _ in range(retries):
-        left = wanted if got is None else without(wanted, got, key)
+        left = checkpoint(wanted if got is None else without(wanted, got, key))
         if left.isEmpty():
             break
-        found = fetch(left)
+        found = checkpoint(fetch(left))
         got = found if got is None else got.unionByName(found)
     return got if got is not None else fetch(wanted.limit(0))
 
@@ -251,14 +272,26 @@ def archive_records(spark: SparkSession, folder: str, parts: Sequence[str], stam
         system.rename(jvm.org.apache.hadoop.fs.Path(part), jvm.org.apache.hadoop.fs.Path(target, f"{stamp}_{part.rstrip('/').rpartition('/')[2]}"))
 
 
-def write_catalog(df: DataFrame, folder: str, version: str) -> str:
-    """Write a new version, then point CURRENT at it; readers see the old or the new one, whole."""
+def write_catalog(df: DataFrame, folder: str, version: str, keep: int | None = None) -> str:
+    """Write a new version, then point CURRENT at it by renaming a file over it; readers see the old or the new one, whole. keep:
+    how many versions stay, the newest by name; an older one may still have readers, so it's the caller's to say."""
     spark, path = df.sparkSession, f"{folder}/versions/{version}"
     df.write.mode("overwrite").parquet(path)
     jvm, pointer, system = _fs(spark, f"{folder}/CURRENT")
-    out = system.create(pointer, True)
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{folder}/CURRENT.{uuid.uuid4().hex}")
+    out = system.create(fresh, False)
     out.writeBytes(version)
     out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.valueOf("OVERWRITE")
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(system.makeQualified(fresh), system.makeQualified(pointer), how)
+    if keep is not None:
+        _, versions, system = _fs(spark, f"{folder}/versions")
+        older = sorted(s.getPath().getName() for s in system.listStatus(versions) if s.getPath().getName() <= version)[:-keep]
+        for name in older:
+            system.delete(jvm.org.apache.hadoop.fs.Path(f"{folder}/versions/{name}"), True)
     return path
 
 
@@ -283,23 +316,31 @@ def write_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def pack_groups(df: DataFrame, folder: str, group: str, order: str, name: Column, content: str) -> DataFrame:
-    """One tar per group, its members in order; returns (group, path, members). A group is one object's frames."""
+def pack_groups(df: DataFrame, folder: str, group: str, order: str, name: Column, content: str, kind: str = "tar") -> DataFrame:
+    """One tar (or zip) per group, its members in order; returns (group, path, members). A group is one object's frames."""
     from lattica.sources.voxel_files import _write_bytes
 
+    if kind not in ("tar", "zip"):
+        raise ValueError(f"unknown archive kind: {kind}")
     ship(df.sparkSession)
     rows = df.select(F.col(group).cast("string").alias("group"), F.col(order).alias("at"), name.alias("name"), F.col(content).alias("content"))
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("at")
         out = io.BytesIO()
-        with tarfile.open(fileobj=out, mode="w") as t:
-            for n, data in zip(rows.column("name").to_pylist(), rows.column("content").to_pylist(), strict=True):
-                info = tarfile.TarInfo(n)
-                info.size = len(data)
-                t.addfile(info, io.BytesIO(data))
+        members = zip(rows.column("name").to_pylist(), rows.column("content").to_pylist(), strict=True)
+        if kind == "zip":
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                for n, data in members:
+                    z.writestr(zipfile.ZipInfo(n), data)
+        else:
+            with tarfile.open(fileobj=out, mode="w") as t:
+                for n, data in members:
+                    info = tarfile.TarInfo(n)
+                    info.size = len(data)
+                    t.addfile(info, io.BytesIO(data))
         key = rows.column("group")[0].as_py()
-        path = f"{folder}/{key}.tar"
+        path = f"{folder}/{key}.{kind}"
         _write_bytes(path, out.getvalue())
         return pa.table({"group": [key], "path": [path], "members": pa.array([rows.num_rows], pa.int64())})
 

@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from lattica.operators.catalog import merge_records
+from lattica.operators.catalog import last_writer, merge_records
 from lattica.session import ship
 from lattica.sources.catalogs import current_catalog, write_catalog
 
 
-def merge_stream(spark: SparkSession, parts: str, schema: T.StructType, folder: str, checkpoint: str, key: str = "sha256", max_files: int = 1000) -> Any:
+def merge_stream(spark: SparkSession, parts: str, schema: T.StructType, folder: str, checkpoint: str, key: str = "sha256", max_files: int = 1000, keep: int = 3) -> Any:
     """Lay all new parquet parts under `parts` over the catalog in `folder`, and stop. A later part name wins; the version is
-    the batch number, so a batch run again writes the same version."""
+    the batch number, so a batch run again writes the same version; the newest `keep` versions stay."""
 
     def merge(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn("__part", F.input_file_name())
@@ -32,7 +32,7 @@ def merge_stream(spark: SparkSession, parts: str, schema: T.StructType, folder:
         newest = rows.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__part"))).alias(c) for c in cells])
         base = current_catalog(batch.sparkSession, folder)
         merged = merge_records(base, {"new": newest}, key) if base is not None else newest
-        write_catalog(merged, folder, f"{number:08d}")
+        write_catalog(merged, folder, f"{number:08d}", keep)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", True).parquet(parts)
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -97,14 +97,19 @@ def moving_average_stream(stream: DataFrame, rate: float) -> DataFrame:
     return stream.groupBy("run").transformWithStateInPandas(MovingAverage(rate), "run string, step long, ema double", "append", "none")
 
 
-def upsert_progress(stream: DataFrame, folder: str, checkpoint: str, key: str = "key") -> Any:
-    """Keep the last record of each key as the catalog in `folder`."""
+def upsert_progress(stream: DataFrame, folder: str, checkpoint: str, key: str = "key", order: str | None = None, keep: int = 3) -> Any:
+    """Keep the last whole record of each key as the catalog in `folder`. order: a column that tells which record is the later
+    one, such as a time or an offset, in a batch and between batches; without one a later batch wins, and inside a batch a later
+    row of the source's partitions."""
 
     def upsert(batch: DataFrame, number: int) -> None:
-        placed = batch.withColumn("__i", F.monotonically_increasing_id())
-        rows = placed.groupBy(key).agg(F.max_by(F.struct(*[c for c in batch.columns if c != key]), "__i").alias("r")).select(key, "r.*")
+        rows = batch.withColumn("__place", F.struct(F.lit(1).alias("new"), F.monotonically_increasing_id().alias("i")))
         base = current_catalog(batch.sparkSession, folder)
-        write_catalog(merge_records(base, {"new": rows}, key) if base is not None else rows, folder, f"{number:08d}")
+        if base is not None:
+            rows = rows.unionByName(base.withColumn("__place", F.struct(F.lit(0).alias("new"), F.lit(0).cast("long").alias("i"))))
+        if order is not None:
+            rows = rows.withColumn("__place", F.struct(F.col(order).alias("order"), F.col("__place.new").alias("new"), F.col("__place.i").alias("i")))
+        write_catalog(last_writer(rows, key, "__place").drop("__place"), folder, f"{number:08d}", keep)
 
     query = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
