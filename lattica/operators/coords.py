@@ -404,6 +404,7 @@ def cross_attention(queries: DataFrame, keys: DataFrame, group: str, q: str, k:
         return pa.table({**{f.name: left.column(f.name) for f in kept}, "out": pa.array(out, pa.list_(pa.float64()))})
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", out array<double>"
+    keys = keys.select(*[F.col(c).alias(c) for c in keys.columns])  # columns of their own, also if both come from one table
     return queries.groupBy(group).cogroup(keys.groupBy(group)).applyInArrow(run, schema)
 
 

@@ -29,5 +29,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-for _name in ("catalog", "spatial", "geometry", "telemetry", "function", "file", "source"):
+for _name in ("catalog", "spatial", "geometry", "telemetry", "function", "file", "source", "volume", "scalar"):
     importlib.import_module(f"lattica.plans.{_name}_queries")
