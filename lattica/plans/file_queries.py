@@ -13,10 +13,10 @@ from lattica.sources import voxel_files as V
 from lattica.sources.catalogs import current_catalog
 from lattica.streaming.incremental import merge_stream
 
-_BYTES = f"with {VOXELS} select x, y, z, (p % 256)::int as v, (n % 256)::int as n from v where b = 0"
+_BYTES = f"with {VOXELS} select b, x, y, z, (p % 256)::int as v, (n % 256)::int as n from v"
 
 
-def _both(spark: SparkSession, sf: str, kind: str, **options) -> DataFrame:
+def _through(spark: SparkSession, sf: str, kind: str, **options) -> DataFrame:
     """All voxels (b, x, y, z, v, n) through one file per batch."""
     rows = voxels(spark, sf).select(F.col("b").cast("string").alias("asset"), "x", "y", "z", F.array((F.col("p") % 256).cast("short"), (F.col("n") % 256).cast("short")).alias("attr"))
     out = None
@@ -27,11 +27,6 @@ def _both(spark: SparkSession, sf: str, kind: str, **options) -> DataFrame:
     return out
 
 
-def _through(spark: SparkSession, sf: str, kind: str, **options) -> DataFrame:
-    """Batch 0 of them, which the SQL asks for; voxel_file_batches returns both."""
-    return _both(spark, sf, kind, **options).where("b = 0").drop("b")
-
-
 @query(_BYTES)
 def vxz_parent_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Written in chunks and read back."""
@@ -43,7 +38,7 @@ def vxz_neighbour_filter(spark: SparkSession, sf: str) -> DataFrame:
     return _through(spark, sf, "vxz", chunk_size=32, filter="neighbor", compression="deflate", interleave="none")
 
 
-@query(f"with {VOXELS} select x, y, z, (p % 256)::int as v, (n % 256)::int as n from v where b = 0 and x >= 32 and y < 8")
+@query(f"with {VOXELS} select b, x, y, z, (p % 256)::int as v, (n % 256)::int as n from v where x >= 32 and y < 8")
 def vxz_box(spark: SparkSession, sf: str) -> DataFrame:
     """A box filter that skips chunks."""
     return _through(spark, sf, "vxz", chunk_size=8, compression="none").where("x >= 32 and y < 8")
@@ -61,22 +56,6 @@ def ply_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return _through(spark, sf, "ply")
 
 
-@query(f"with {VOXELS} select kind, b, x, y, z, (p % 256)::int as v, (n % 256)::int as n from v, (select unnest(['parent', 'neighbor', 'box', 'npz', 'ply']) as kind) where kind <> 'box' or (x >= 32 and y < 8)")
-def voxel_file_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Both batches, a file for each, through every format."""
-    kinds = {
-        "parent": _both(spark, sf, "vxz", chunk_size=16, filter="parent", compression="zstd", level=3),
-        "neighbor": _both(spark, sf, "vxz", chunk_size=32, filter="neighbor", compression="deflate", interleave="none"),
-        "box": _both(spark, sf, "vxz", chunk_size=8, compression="none").where("x >= 32 and y < 8"),
-        "npz": _both(spark, sf, "npz"), "ply": _both(spark, sf, "ply"),
-    }
-    out = None
-    for kind, rows in kinds.items():
-        rows = rows.select(F.lit(kind).alias("kind"), "*")
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 @query(f"with {LAYERS} select key, coalesce(f.status, b.status) as status, coalesce(f.cust, b.cust) as cust from base b full join fixes f using (key)")
 def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Record parts consumed once each by a stream, laid over the catalog."""
