@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lattica.llm import mixture, pieces, quality_rules, secrets, simhash
 from lattica.llm.common import read_table
-from lattica.session import scratch
+from lattica.session import discard, scratch
 
 
 def _recount(docs: DataFrame) -> DataFrame:
@@ -61,10 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage. Stages but the last are written to the checkpoint folder, which executors share."""
-    docs = read_table(spark, sf_dir, "documents")
+    """The rows of the last stage. Stages but the last are written to the checkpoint folder, which executors share; a stage's
+    rows are deleted once the next one's are there, but for those that the result reads."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
