@@ -1,8 +1,8 @@
-"""All registered queries of the engine and their SQL. A query module registers its functions with `query`."""
+"""All registered queries of the engine and their SQL. A query module registers its functions with `query`; the package imports
+every query module."""
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +27,3 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-for _name in ("catalog", "spatial", "geometry", "telemetry", "function", "file", "source", "volume", "scalar"):
-    importlib.import_module(f"lattica.plans.{_name}_queries")

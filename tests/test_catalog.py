@@ -92,6 +92,8 @@ def test_least_loaded_groups():
     assert max(sums) - min(sums) <= max(load)
     equal = sampling.least_loaded(load, 4, equal=True)
     assert sorted(equal.tolist()) == sorted([0, 1, 2, 3] * 2)
+    assert sampling.least_loaded([4, 4, 1], 2).tolist() == [1, 0, 0]  # ties: the later item first, the first group first
+    assert sorted(sampling.least_loaded([3, 2, 1], 2, equal=True).tolist()) == [0, 1, 1] and sampling.least_loaded([5], 3, equal=True).tolist() == [0]
 
 
 def test_balanced_sampler_covers_the_epoch(spark, sf):
@@ -195,6 +197,54 @@ def test_fetch_retries_what_is_missing(spark):
     assert seen[0] == 6 and len(seen) == 3
 
 
+def test_a_flaky_source_is_asked_once_a_round(spark, tmp_path):
+    """What a round saw is what is returned, although the source would answer otherwise if asked again."""
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def fetch(left):
+        def run(batches):
+            import uuid
+
+            for b in batches:
+                for i in b.column("id").to_pylist():
+                    (log / f"{i}-{uuid.uuid4().hex}").touch()
+                yield b
+
+        return left.mapInArrow(run, "id long")
+
+    assert sorted(r.id for r in R.fetch_remaining(spark.range(6), "id", fetch).collect()) == list(range(6))
+    assert sorted(f.name.partition("-")[0] for f in log.iterdir()) == list("012345")
+
+
+def test_progress_order_and_errors(spark, tmp_path):
+    (tmp_path / "p0.json").write_text('{"key": "a", "status": "error", "error": "boom"}\n{"key": "a", "status": "success"}\nnot json\n{"status": "no key"}\n')
+    r = R.read_progress(spark, str(tmp_path / "p*.json")).collect()
+    assert [(x.key, x.status, x.error) for x in r] == [("a", "success", None)]
+    assert R.progress_errors(spark, str(tmp_path / "p*.json")).count() == 2
+
+
+def test_the_current_version_is_replaced_whole(spark, tmp_path):
+    folder = str(tmp_path / "cat")
+    for i in range(4):
+        R.write_catalog(spark.range(i + 1), folder, f"v{i}", keep=2)
+        assert R.current_catalog(spark, folder).count() == i + 1
+    assert sorted(p.name for p in (tmp_path / "cat" / "versions").iterdir()) == ["v2", "v3"]
+    assert [p.name for p in (tmp_path / "cat").iterdir() if p.name.startswith("CURRENT")] == ["CURRENT"]
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    import lattica.session as session
+
+    conf = SimpleNamespace(get=lambda key: None)
+    for master in ("yarn", "spark://x:7077", "local-cluster[2,1,1024]"):
+        context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master=master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(SimpleNamespace(sparkContext=context))
+
+
 def test_dumps_and_obj_files(spark, tmp_path):
     import os
     import pickle

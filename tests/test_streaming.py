@@ -93,3 +93,15 @@ def test_progress_upsert(spark, tmp_path):
         I.upsert_progress(stream, str(tmp_path / "cat"), str(tmp_path / "state"))
         spark.createDataFrame([("a", "success", 3)], schema).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "in" / "p=1"))
     assert {(r.key, r.status) for r in current_catalog(spark, str(tmp_path / "cat")).collect()} == {("a", "success"), ("b", "success")}
+
+
+def test_progress_upserts_keep_whole_records(spark, tmp_path):
+    """A later record replaces an earlier one cell for cell, nulls included; with an order, also if it arrives first."""
+    schema = "key string, status string, error string, at long"
+    for name, order, want in (("plain", None, ("a", "success", None)), ("ordered", "at", ("a", "done", "late"))):
+        for i, row in enumerate([("a", "error", "boom", 1), ("a", "done", "late", 3), ("a", "success", None, 2)]):
+            spark.createDataFrame([row], schema).write.parquet(str(tmp_path / name / "parts" / f"p{i}"))
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / name / "parts"))
+            I.upsert_progress(stream, str(tmp_path / name / "cat"), str(tmp_path / name / "state"), order=order)
+        r = I.current_catalog(spark, str(tmp_path / name / "cat")).collect()
+        assert [(x.key, x.status, x.error) for x in r] == [want]
