@@ -306,6 +306,43 @@ def batch_operand(df: DataFrame, operand: DataFrame, op: Callable[[Column, Colum
     return met.withColumn(feats, there).drop("__o")
 
 
+def _filling(feats: str, factor: int) -> Column:
+    """The features, or an error if their number isn't a multiple of factor ** 3."""
+    bad = F.raise_error(F.concat(F.lit(f"channels don't fill blocks of {factor}: "), F.size(feats).cast("string")))
+    return F.when(F.size(feats) % factor**3 == 0, F.size(feats) / factor**3).otherwise(bad.cast("double")).cast("int")
+
+
+def unpatchify(df: DataFrame, factor: int, feats: str = "feats") -> DataFrame:
+    """Every cell as factor ** 3 finer ones: channel c f^3 + s goes to channel c of place s = (i f + j) f + k inside the cell. This is
+    the dense pixel shuffle, too."""
+    n = factor**3
+    parts = F.transform(
+        F.sequence(F.lit(0), F.lit(n - 1)),
+        lambda s: F.transform(F.slice(F.sequence(F.lit(0), F.col("__n")), F.lit(1), F.col("__n")), lambda c: F.get(feats, c * n + s)),
+    )
+    rows = df.withColumn("__n", _filling(feats, factor)).select(*KEY, F.posexplode(parts).alias("__s", "__f"))
+    place = [(F.col(a) * factor + F.pmod(F.floor(F.col("__s") / factor ** (2 - i)), F.lit(factor))).cast("int").alias(a) for i, a in enumerate(AXES)]
+    return rows.select("b", *place, F.col("__f").alias(feats))
+
+
+pixel_shuffle = unpatchify
+
+
+def patchify(df: DataFrame, factor: int, feats: str = "feats") -> DataFrame:
+    """The inverse: the factor ** 3 cells of a block, all of which must exist, as one cell with all their channels."""
+    slot = F.lit(0)
+    for a in AXES:
+        slot = slot * factor + F.pmod(F.col(a), F.lit(factor))
+    rows = df.select(*_parents(factor), slot.cast("int").alias("__s"), F.col(feats).alias("__f"))
+    held = rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("__s", "__f"))).alias("__t"))  # a block has factor ** 3 cells
+    whole = F.transform(F.col("__t"), lambda t: t["__s"]) == F.sequence(F.lit(0), F.lit(factor**3 - 1))
+    across = lambda c: F.transform(F.col("__t"), lambda t: F.get(t["__f"], c))
+    last = F.size(F.get("__t", F.lit(0))["__f"]) - 1
+    kind = df.schema[feats].dataType
+    gap = F.raise_error(F.lit(f"a block of {factor} lacks cells")).cast("string")
+    return held.select(*KEY, F.when(whole, F.flatten(F.transform(F.sequence(F.lit(0), last), across))).otherwise(F.from_json(gap, kind.simpleString())).alias(feats))
+
+
 def same_cells(a: DataFrame, b: DataFrame) -> bool:
     """Do both tables have exactly the same coordinates?"""
     x, y = a.select(*KEY), b.select(*KEY)
