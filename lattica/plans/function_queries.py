@@ -26,7 +26,7 @@ def occupancy(spark: SparkSession, sf: str) -> DataFrame:
 @query("with e as (select vec_id, list_transform(embedding[1:8], lambda v: round(v * 1000)::bigint) as f from embeddings) select vec_id, list_sum(f)::bigint as total, [f[1] * 3 - f[2], f[2] * 3 - f[3]] as mixed, list_max(f)::bigint as top, f[3:4] as part from e")
 def channel_functions(spark: SparkSession, sf: str) -> DataFrame:
     """Channels sliced, summed and combined."""
-    f = F.transform(F.slice("embedding", 1, 8), lambda v: F.round(v.cast("double") * 1000).cast("long"))
+    f = F.transform(F.slice("embedding", 1, 8), lambda v: F.round(v * F.lit(1000.0).cast("float")).cast("long"))  # in single precision, as they are
     e = table(spark, sf, "embeddings").select("vec_id", f.alias("f"))
     mixed = K.zip_op(F.slice("f", 1, 2), F.slice("f", 2, 2), lambda a, b: a * 3 - b)
     total = F.aggregate("f", F.lit(0).cast("long"), lambda s, v: s + v)
