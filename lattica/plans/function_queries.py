@@ -141,7 +141,7 @@ def requantise(spark: SparkSession, sf: str) -> DataFrame:
 def segment_group_norm(spark: SparkSession, sf: str) -> DataFrame:
     """Group norm of embeddings, a batch per label."""
     e = table(spark, sf, "embeddings").select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("f"))
-    return K.group_norm(e, "label", "f", 16, 4).withColumn("f", F.transform("f", lambda v: F.round(v, 6)))
+    return K.group_norm(e, "label", "f", 16, 4).withColumn("f", F.transform("f", lambda v: S.round_signed(v, 6)))
 
 
 @query()

@@ -31,7 +31,7 @@ def test_entry(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-@pytest.mark.parametrize("name", ["channel_functions", "channels_in_rows", "channel_folds"])
+@pytest.mark.parametrize("name", ["channel_functions", "channels_in_rows", "channel_folds", "segment_group_norm"])
 def test_channels_equal_their_sql_in_type_last_digit_and_sign(spark, tmp_path, name):
     """Thousandths and a half, where single and double precision round apart, and values that round to -0.0."""
     halves = [[(64 * i + k + 0.5) / 1000 * (-1) ** k for k in range(64)] for i in range(30)]
