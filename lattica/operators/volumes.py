@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lattica.operators import geometry as G
-from lattica.session import checkpoint
+from lattica.session import checkpoint, unbounded
 
 #: Texture slots of a material, and the channels that each has.
 SLOTS = {"base": 3, "metallic": 1, "roughness": 1, "emissive": 3, "alpha": 1, "normal": 3}
@@ -29,14 +29,14 @@ def pyramid(texels: DataFrame, textures: DataFrame) -> DataFrame:
     """(tex, level, tx, ty, c0, c1, c2): textures with all their mips, truncated means of 2 x 2 down to one texel. Only linear
     textures have mips; their sides are powers of two."""
     largest = textures.where("linear").agg(F.max("size")).first()[0] or 1
-    now = texels.select("tex", F.lit(0).alias("level"), "tx", "ty", *CHANNELS)
+    now = checkpoint(texels.select("tex", F.lit(0).alias("level"), "tx", "ty", *CHANNELS))  # else every level makes all those below it again
     out = now
     sides = textures.where("linear").select("tex", "size")
     for level in range(1, int(largest).bit_length()):
         there = sides.where(F.col("size") >= (1 << level)).select("tex")
         half = [F.floor(F.col(c) / 2).cast("int").alias(c) for c in ("tx", "ty")]
         now = now.join(there, "tex", "left_semi").groupBy("tex", *half).agg(*[F.floor(F.sum(c) / 4).cast("long").alias(c) for c in CHANNELS])
-        now = now.select("tex", F.lit(level).alias("level"), "tx", "ty", *CHANNELS)
+        now = checkpoint(now.select("tex", F.lit(level).alias("level"), "tx", "ty", *CHANNELS))
         out = out.unionByName(now)
     return out
 
@@ -87,7 +87,7 @@ def volumetric_attributes(triangles: DataFrame, materials: DataFrame, textures:
     found = materials.withColumn("__there", F.lit(True))
     laid = laid.join(found, "mat", "left")
     laid = laid.where(F.when(F.col("__there"), True).otherwise(F.raise_error(F.concat(F.lit("no material "), F.col("mat").cast("string"))).cast("boolean"))).drop("__there")
-    cells = hit.join(laid, keep)
+    cells = unbounded(hit).join(laid, keep)
     centre = {f"p{a}": (F.col(a) + 0.5) * voxel for a in "xyz"}
     cells = cells.withColumns(centre)
     place = G.barycentric(G.vector("px", "py", "pz"), G.vector("nx", "ny", "nz"))
@@ -101,7 +101,7 @@ def volumetric_attributes(triangles: DataFrame, materials: DataFrame, textures:
     asked = cells.select(*key, "u", "v", "footprint", F.explode(wanted).alias("t")).select(*key, "u", "v", "footprint", "t.slot", "t.tex")
     got = sample(asked, textures, pyramid(texels, textures), [*key, "slot"])
     got = got.groupBy(*key).agg(*[F.max(F.when(F.col("slot") == s, F.struct(*CHANNELS))).alias(s) for s in SLOTS])
-    rows = cells.join(got, key, "left")
+    rows = cells.join(unbounded(got), key, "left")
     value = {n: _value(s, i) for s in ("base", "metallic", "roughness", "emissive") for i, n in enumerate(names(s))}
     value["alpha"] = G.alpha_rule(F.col("alpha_mode"), F.col("alpha_factor"), F.col("alpha.c0"), F.col("alpha_cutoff"))
     own_normal = G.vector("ownx", "owny", "ownz")
