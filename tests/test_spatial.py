@@ -487,7 +487,7 @@ def test_crossed_edges_are_those_of_the_scan(spark):
     assert all((mesh, x + i, y + j, z + k) in cells for mesh, axis, x, y, z in got for i, j, k in K.QUAD[axis])
 
 
-@pytest.mark.parametrize("name", ["grid_to_triangles"])
+@pytest.mark.parametrize("name", ["grid_to_triangles", "textured_volume"])
 def test_mesh_rows_take_little_disk(spark, sf, name, monkeypatch):
     """No row per cell is kept or shuffled: a part has over a hundred of them."""
     from lattica.operators import volumes
@@ -508,3 +508,57 @@ def test_mesh_rows_take_little_disk(spark, sf, name, monkeypatch):
     spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     assert written() - before < 2000 * parts
     assert sum(kept) <= 10 * parts
+
+
+def test_blocks_have_all_cells():
+    """The cells of a triangle in the blocks that it reaches are those of the scan, also of planes nearly parallel to an axis."""
+    rng = np.random.default_rng(3)
+    grid, t = 37, rng.random((30, 3, 3)) * 44 - 4
+    t[:8] = t[:8, :1] + rng.random((8, 3, 3)) * 3
+    t[8:12, :, 2] = 16 + rng.random((4, 3)) * 1e-9
+    t[12, 0, 0] = np.nan
+    blocks = rows_of(G._reached(t, 1.0, grid))
+    assert len(blocks) == len(set(blocks)) and 12 not in {b[0] for b in blocks}
+    tri, block = np.array([b[0] for b in blocks]), np.array([b[1:] for b in blocks])
+    own, cell = G.cells_in_block(t[tri], block, 1.0, grid)
+    places = block[own] * G.CUT + np.stack((cell // G.CUT**2, cell // G.CUT % G.CUT, cell % G.CUT), axis=1)
+    got = [(int(tri[i]), *p) for i, p in zip(own, places.tolist(), strict=True)]
+    t = np.delete(t, 12, axis=0)
+    assert len(got) == len(set(got)) > 5000
+    assert set(got) == {(h[0] + (h[0] >= 12), *h[3:6]) for h in rows_of(G._cells_around(t, 1.0, grid))}
+
+
+@pytest.mark.parametrize("smooth", [False, True])
+def test_volumes_held_and_joined_agree(spark, monkeypatch, smooth):
+    """Meshes over many blocks, triangles of all sizes, every slot, wrap and alpha mode, a texture with holes, one that isn't listed."""
+    from lattica.operators import volumes as V
+
+    rng = np.random.default_rng(4)
+    names = [f"{c}{a}" for c in "abc" for a in ("x", "y", "z", "u", "v", *(("nx", "ny", "nz") if smooth else ()))]
+    rows = []
+    for fid in range(40):
+        start, span = rng.random(3) * 30, (1, 4, 30)[fid % 3]
+        rows.append((f"m{fid % 3}", fid, int(fid % 4), *[float(x) for _ in range(3) for x in (*(start + rng.random(3) * span), *(rng.random(2) * 3 - 1), *(rng.random(3) if smooth else ()))]))
+    rows.append((None, 40, 0, *rows[0][3:]))
+    df = spark.createDataFrame(rows, "mesh string, fid int, mat int, " + ", ".join(f"{n} double" for n in names))
+    slots = [(1, None, 2, 3, 3, 2), (2, 1, None, None, 1, None), (3, 3, 4, 1, 2, 1), (None,) * 6]  # of 4 there is no texture
+    factors = [([0.5, 1.0, 0.25], 0.75, 1.0, [1.0, 0.5, 2.0], 0.5, 0.5, "BLEND"), ([1.0, 1.0, 1.0], 0.1, 0.5, [0.0] * 3, 1.0, 0.5, "MASK"), ([0.3, None, 1.0], None, 0.25, [0.2] * 3, 0.5, 0.5, None), ([1.0] * 3, 1.0, 1.0, [0.0] * 3, 0.5, 0.5, "OPAQUE")]
+    schema = "mat int, base_factor array<double>, metallic_factor double, roughness_factor double, emissive_factor array<double>, alpha_factor double, alpha_cutoff double, alpha_mode string, " + ", ".join(f"{s}_tex int" for s in V.SLOTS)
+    materials = spark.createDataFrame([(i, *f, *s) for i, (f, s) in enumerate(zip(factors, slots, strict=True))], schema)
+    textures = spark.createDataFrame([(1, 16, G.REPEAT, True), (2, 8, G.MIRROR, True), (3, 5, G.CLAMP, False)], "tex int, size int, wrap int, linear boolean")
+    texels = spark.createDataFrame([(t, x, y, *map(int, rng.integers(0, 256, 3))) for t, n in ((1, 16), (2, 8), (3, 5)) for x in range(n) for y in range(n) if (t, x % 3) != (3, 1)], "tex int, tx int, ty int, c0 long, c1 long, c2 long")
+    run = lambda: {(r.mesh, r.x, r.y, r.z): r[4:] for r in V.volumetric_attributes(df, materials, textures, texels, 1.0, 40, 2.0).collect()}
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held, default = run(), spark.conf.get(batch)
+    try:
+        spark.conf.set(batch, "3")  # a block's rows in many batches
+        assert (again := run()).keys() == held.keys()
+    finally:
+        spark.conf.set(batch, default)
+    monkeypatch.setattr(V, "HELD_TEXELS", 0)
+    joined = run()
+    assert len(joined) > 900 and held.keys() == joined.keys()
+    number = lambda rows: np.array([rows[k] for k in joined], float)
+    assert np.allclose(number(held), number(joined), atol=1e-6, equal_nan=True) and np.allclose(number(held), number(again), atol=1e-9, equal_nan=True)
+    with pytest.raises(Exception, match="no material 9"):
+        V.volumetric_attributes(df.withColumn("mat", F.lit(9)), materials, textures, texels, 1.0, 40).collect()
