@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lattica.operators import geometry as G
@@ -194,7 +195,7 @@ def _values(held: Held, mat: np.ndarray, own: dict[str, np.ndarray], at: np.ndar
 
     def read(slot: str) -> np.ndarray:
         tex = held.tex[slot]
-        return held.sample(tex[which], u, v, footprint, SLOTS[slot]) if (tex >= 0).any() else np.full((SLOTS[slot], len(at)), np.nan)
+        return held.sample(tex[which], u, v, footprint, SLOTS[slot]) * col("times") if (tex >= 0).any() else np.full((SLOTS[slot], len(at)), np.nan)
 
     value = {}
     for slot in ("base", "metallic", "roughness", "emissive", "alpha"):
@@ -284,14 +285,16 @@ def volumetric_attributes(triangles: DataFrame, materials: DataFrame, textures:
     """(mesh, x, y, z, base_r ... normal_z): the cells around the grid edges that each mesh's triangles cross. A triangle gives a cell
     its attributes at the projection of the cell's centre, weighing 1 less the centre's distance in front of its plane.
 
-    A material without a texture in a slot has its factor there; one that a triangle names but isn't listed is an error. Triangles
+    A material without a texture in a slot has its factor there; one that a triangle names but isn't listed is an error. fid names one
+    triangle of a mesh; the samples of a repeated row are summed up, as those of one key are. Triangles
     may have vertex normals anx ... cnz; else the face's is taken, and a normal map bends either."""
     smooth = "anx" in triangles.columns
     if held := _hold(materials, textures, texels):
-        used = ["mesh", "mat", *[f"{c}{k}" for c in "abc" for k in ("x", "y", "z", "u", "v", *(("nx", "ny", "nz") if smooth else ()))]]
-        listed = F.when(F.col("mat").isin(held.mats), True).otherwise(F.raise_error(F.concat(F.lit("no material "), F.col("mat").cast("string"))).cast("boolean"))
-        laid = _framed(G.cut_to_blocks(triangles.where(listed).where("mesh is not null and fid is not null").select(*used), voxel, grid), voxel, mip_offset)
-        return _blocks_summed(laid.drop("nd", "mu", "mv"), held, voxel, grid, smooth)
+        used = ["mesh", "fid", "mat", *[f"{c}{k}" for c in "abc" for k in ("x", "y", "z", "u", "v", *(("nx", "ny", "nz") if smooth else ()))]]
+        listed = F.when(F.col("mesh").isNull() | F.col("fid").isNull(), False).when(F.col("mat").isin(held.mats), True).otherwise(F.raise_error(F.concat(F.lit("no material "), F.col("mat").cast("string"))).cast("boolean"))
+        laid = G.cut_to_blocks(triangles.where(listed).select(*used), voxel, grid)
+        laid = laid.withColumn("times", F.count("*").over(W.partitionBy("mesh", "gx", "gy", "gz", "fid")))  # in the order they have
+        return _blocks_summed(_framed(laid, voxel, mip_offset).drop("fid", "nd", "mu", "mv"), held, voxel, grid, smooth)
     laid = _framed(triangles, voxel, mip_offset)
     keep = ["mesh", "fid"]
     hit = G.scan_convert(laid, voxel, grid, keep).select(*keep, "x", "y", "z").distinct()

@@ -539,7 +539,7 @@ def test_volumes_held_and_joined_agree(spark, monkeypatch, smooth):
     for fid in range(40):
         start, span = rng.random(3) * 30, (1, 4, 30)[fid % 3]
         rows.append((f"m{fid % 3}", fid, int(fid % 4), *[float(x) for _ in range(3) for x in (*(start + rng.random(3) * span), *(rng.random(2) * 3 - 1), *(rng.random(3) if smooth else ()))]))
-    rows.append((None, 40, 0, *rows[0][3:]))
+    rows += [(None, 40, 0, *rows[0][3:]), rows[2], rows[2], rows[3]]  # without a mesh, and repeated
     df = spark.createDataFrame(rows, "mesh string, fid int, mat int, " + ", ".join(f"{n} double" for n in names))
     slots = [(1, None, 2, 3, 3, 2), (2, 1, None, None, 1, None), (3, 3, 4, 1, 2, 1), (None,) * 6]  # of 4 there is no texture
     factors = [([0.5, 1.0, 0.25], 0.75, 1.0, [1.0, 0.5, 2.0], 0.5, 0.5, "BLEND"), ([1.0, 1.0, 1.0], 0.1, 0.5, [0.0] * 3, 1.0, 0.5, "MASK"), ([0.3, None, 1.0], None, 0.25, [0.2] * 3, 0.5, 0.5, None), ([1.0] * 3, 1.0, 1.0, [0.0] * 3, 0.5, 0.5, "OPAQUE")]
@@ -562,3 +562,16 @@ def test_volumes_held_and_joined_agree(spark, monkeypatch, smooth):
     assert np.allclose(number(held), number(joined), atol=1e-6, equal_nan=True) and np.allclose(number(held), number(again), atol=1e-9, equal_nan=True)
     with pytest.raises(Exception, match="no material 9"):
         V.volumetric_attributes(df.withColumn("mat", F.lit(9)), materials, textures, texels, 1.0, 40).collect()
+
+
+@pytest.mark.parametrize("name", ["grid_to_triangles", "textured_volume"])
+def test_parts_without_a_key_have_no_mesh(spark, sf, name, tmp_path):
+    from lattica.plans.registry import QUERIES
+
+    parts = spark.read.parquet(f"{sf}/part.parquet").where("p_partkey < 40")
+    for at, key in (("whole", F.col("p_partkey")), ("holed", F.when(F.col("p_partkey") % 5 > 0, F.col("p_partkey")))):
+        parts.withColumn("p_size", F.lit(1)).withColumn("p_partkey", key).write.parquet(str(tmp_path / at / "part.parquet"))
+    whole, holed = (QUERIES[name](spark, str(tmp_path / at)) for at in ("whole", "holed"))
+    mesh = whole.columns[0]
+    assert holed.select(mesh, "v0" if "v0" in holed.columns else "x").exceptAll(whole.where(F.col(mesh) % 5 > 0).select(mesh, "v0" if "v0" in whole.columns else "x")).count() == 0
+    assert holed.count() == whole.where(F.col(mesh) % 5 > 0).count() > 0
